@@ -1,4 +1,4 @@
-"""Registered queries: name -> (spark, sf_dir) -> DataFrame, and their oracles.
+"""Registered queries of the join, projection and mart operators.
 
 Every query reads the driver's tables in full (or data Spark derives from
 them); nothing is sampled, capped or filtered to a subset.
@@ -6,31 +6,15 @@ them); nothing is sampled, capped or filtered to a subset.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.functions.columns import full_name, money, month_of
 from salesmart.operators import enrich as E
 from salesmart.operators import marts as M
 from salesmart.plans import oracle as O
+from salesmart.plans.registry import register
 from salesmart.sources.star import customer_dim, sales_from_star, star_inputs
 
-Query = Callable[[SparkSession, str], DataFrame]
-
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLES[name] = sql
-        return fn
-    return deco
-
 
 # ------------------------------------------------------------------ joins J1–J4
 

@@ -25,14 +25,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def sales_from_star(spark: SparkSession, sf_dir: str, with_extras: bool = False) -> DataFrame:
+def sales_from_star(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Canonical sales rows (SALES columns) from lineitem ⋈ orders ⋈ part ⋈ supplier.
 
-    ``with_extras`` keeps ``l_returnflag`` and ``l_linestatus`` as two raw extra
-    columns (schema-drift tests); otherwise ``additional_column`` is NULL.
+    ``keep`` appends raw star columns after ``additional_column`` (NULL), e.g.
+    ``l_returnflag``/``l_linestatus`` as schema-drift extras or
+    ``o_orderstatus`` to slice the rows into files.
     """
     li = table(spark, sf_dir, "lineitem")
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     joined = (
@@ -50,10 +51,8 @@ def sales_from_star(spark: SparkSession, sf_dir: str, with_extras: bool = False)
         F.col("l_quantity").cast("int").alias("quantity"),
         F.col("l_extendedprice").cast(MONEY).alias("total_cost"),
     ]
-    if with_extras:
-        cols += [F.col("l_returnflag"), F.col("l_linestatus")]
-    else:
-        cols.append(F.lit(None).cast("string").alias(EXTRA_COLUMN))
+    cols.append(F.lit(None).cast("string").alias(EXTRA_COLUMN))
+    cols += [F.col(c) for c in keep]
     return joined.select(*cols)
 
 
@@ -104,10 +103,10 @@ def sales_team_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def star_inputs(spark: SparkSession, sf_dir: str, with_extras: bool = False):
+def star_inputs(spark: SparkSession, sf_dir: str):
     """(sales, customer, store, sales_team) for one scale-factor directory."""
     return (
-        sales_from_star(spark, sf_dir, with_extras),
+        sales_from_star(spark, sf_dir),
         customer_dim(spark, sf_dir),
         store_dim(spark, sf_dir),
         sales_team_dim(spark, sf_dir),
