@@ -33,18 +33,21 @@ def _write_csv(df: DataFrame, path: str, compression: str | None = None) -> None
 
 
 def land(spark: SparkSession, sf_dir: str, root: str, decoys: bool = True,
-         duplicate_clean: bool = False) -> str:
-    """Write the drops under ``root`` and return it."""
+         duplicate_clean: bool = False, statuses: tuple[str, ...] = (CLEAN, EXTRA, MISSING)) -> str:
+    """Write the drops of ``statuses`` under ``root`` and return the drop folder."""
     s = star_sales_with_status(spark, sf_dir)
     status = F.col("o_orderstatus")
     mand = list(MANDATORY_COLUMNS)
     clean = s.where(status == CLEAN).select(*mand)
-    _write_csv(clean, f"{root}/drop/status={CLEAN}")
+    if CLEAN in statuses:
+        _write_csv(clean, f"{root}/drop/status={CLEAN}")
     if duplicate_clean:
         _write_csv(clean, f"{root}/drop/copy/status={CLEAN}")
-    _write_csv(s.where(status == EXTRA).select(*mand, *EXTRA_COLS), f"{root}/drop/status={EXTRA}")
-    _write_csv(s.where(status == MISSING).select(*[c for c in mand if c != "store_id"], "l_returnflag"),
-               f"{root}/drop/status={MISSING}")
+    if EXTRA in statuses:
+        _write_csv(s.where(status == EXTRA).select(*mand, *EXTRA_COLS), f"{root}/drop/status={EXTRA}")
+    if MISSING in statuses:
+        _write_csv(s.where(status == MISSING).select(*[c for c in mand if c != "store_id"], "l_returnflag"),
+                   f"{root}/drop/status={MISSING}")
     if decoys:
         clean.select(F.concat_ws(",", *[F.col(c).cast("string") for c in mand]).alias("value")) \
             .write.mode("overwrite").text(f"{root}/drop/decoy_txt")

@@ -91,6 +91,10 @@ def with_ctes(*ctes: str, select: str) -> str:
     return "WITH " + ",".join(ctes) + "\n" + select
 
 
-def star_sql(select: str, *extra: str) -> str:
-    """SQL over the sales + dimension CTEs and optional extra CTEs."""
-    return with_ctes(SALES_CTE, DIM_CTE, *extra, select=select)
+def star_sql(select: str, *extra: str, sales_where: str | None = None) -> str:
+    """SQL over the sales + dimension CTEs and optional extra CTEs;
+    ``sales_where`` restricts the sale rows that enter ``enriched``."""
+    dims = DIM_CTE
+    if sales_where:
+        dims = dims.replace("FROM s_sales s\n", f"FROM (SELECT * FROM s_sales WHERE {sales_where}) s\n")
+    return with_ctes(SALES_CTE, dims, *extra, select=select)
