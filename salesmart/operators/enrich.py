@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.plans.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
+from salesmart.plans.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast, hint_if, rows_at_most
 
 # Columns of the enriched row, in output order.
 ENRICHED_COLUMNS = (
@@ -28,12 +28,35 @@ ENRICHED_COLUMNS = (
 )
 
 
+def _customer_side(customer: DataFrame) -> DataFrame:
+    return customer.select("customer_id", "first_name", "last_name", "address", "pincode", "phone_number")
+
+
+def _store_side(store: DataFrame) -> DataFrame:
+    return store.select(
+        F.col("id").alias("store_id"),
+        F.col("address").alias("store_address"),
+        "store_manager_name",
+    )
+
+
+def _team_side(sales_team: DataFrame) -> DataFrame:
+    return sales_team.select(
+        F.col("id").alias("sales_person_id"),
+        F.col("first_name").alias("sales_person_first_name"),
+        F.col("last_name").alias("sales_person_last_name"),
+        F.col("address").alias("sales_person_address"),
+        F.col("pincode").alias("sales_person_pincode"),
+        "manager_id",
+        "is_manager",
+    )
+
+
 def join_customer(sales: DataFrame, customer: DataFrame,
                   max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Sales ⋈ customer; drops product/price/quantity/extras and the
     customer joining date, keeps the customer's name, address, pincode, phone."""
-    c = customer.select("customer_id", "first_name", "last_name", "address", "pincode", "phone_number")
-    c, _ = bounded_broadcast(c, max_rows)
+    c, _ = bounded_broadcast(_customer_side(customer), max_rows)
     s = sales.select("customer_id", "store_id", "sales_date", "sales_person_id", "total_cost")
     return s.join(c, "customer_id", "inner")
 
@@ -42,12 +65,7 @@ def join_store(df: DataFrame, store: DataFrame,
                max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """… ⋈ store on store.id = store_id; keeps the store's address (as
     ``store_address``) and manager name."""
-    st = store.select(
-        F.col("id").alias("store_id"),
-        F.col("address").alias("store_address"),
-        "store_manager_name",
-    )
-    st, _ = bounded_broadcast(st, max_rows)
+    st, _ = bounded_broadcast(_store_side(store), max_rows)
     return df.join(st, "store_id", "inner")
 
 
@@ -55,23 +73,18 @@ def join_sales_team(df: DataFrame, sales_team: DataFrame,
                     max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """J3 + P2: … ⋈ sales_team on id = sales_person_id, its name, address and
     pincode renamed to ``sales_person_*``."""
-    t = sales_team.select(
-        F.col("id").alias("sales_person_id"),
-        F.col("first_name").alias("sales_person_first_name"),
-        F.col("last_name").alias("sales_person_last_name"),
-        F.col("address").alias("sales_person_address"),
-        F.col("pincode").alias("sales_person_pincode"),
-        "manager_id",
-        "is_manager",
-    )
-    t, _ = bounded_broadcast(t, max_rows)
+    t, _ = bounded_broadcast(_team_side(sales_team), max_rows)
     return df.join(t, "sales_person_id", "inner")
 
 
 def enrich(sales: DataFrame, customer: DataFrame, store: DataFrame, sales_team: DataFrame,
            max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """The full enrichment; output columns ``ENRICHED_COLUMNS``."""
-    df = join_customer(sales, customer, max_rows)
-    df = join_store(df, store, max_rows)
-    df = join_sales_team(df, sales_team, max_rows)
+    """The full enrichment; output columns ``ENRICHED_COLUMNS``. The three
+    dimension size checks run as concurrent jobs."""
+    c, st, t = _customer_side(customer), _store_side(store), _team_side(sales_team)
+    cs, ss, ts = rows_at_most([c, st, t], max_rows)
+    s = sales.select("customer_id", "store_id", "sales_date", "sales_person_id", "total_cost")
+    df = (s.join(hint_if(c, cs), "customer_id", "inner")
+          .join(hint_if(st, ss), "store_id", "inner")
+          .join(hint_if(t, ts), "sales_person_id", "inner"))
     return df.select(*ENRICHED_COLUMNS)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmart.functions.columns import full_name, incentive, money, month_of
-from salesmart.plans.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast, semi_join_all
+from salesmart.plans.joins import DEFAULT_BROADCAST_ROWS, hint_if, key_set, rows_at_most, semi_join_all
 
 CUSTOMER_MART_COLUMNS = ("customer_id", "full_name", "address", "phone_number", "sales_date_month", "total_sales")
 SALES_MART_COLUMNS = ("store_id", "sales_person_id", "full_name", "sales_month", "total_sales", "incentive")
@@ -101,43 +101,51 @@ def customer_mart_from_rows(rows: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------- aggregate-first marts
 
-def _restricted_monthly(sales: DataFrame, customer: DataFrame, store: DataFrame,
-                        sales_team: DataFrame, checks: list[str], group: list[str],
-                        max_rows: int) -> DataFrame:
+_DIMS = {
+    "customer": ("customer_id", "customer_id"),
+    "store": ("store_id", "id"),
+    "sales_team": ("sales_person_id", "id"),
+}
+
+
+def _restricted_monthly(sales: DataFrame, checks, small: list[bool], group: list[str]) -> DataFrame:
     """Monthly sums of the sale rows that survive the three inner joins.
 
-    ``checks`` names the dimensions applied as semi joins here (the remaining
-    one is joined by the caller for its descriptive columns). Bounded key sets
-    are broadcast, so the fact side is not shuffled; when one is too big, the
-    rows are first pre-aggregated to (customer, store, person, month), which
-    collapses hot keys map-side before the shuffled semi join.
+    ``checks`` are the dimensions applied here as semi joins (the remaining one
+    is joined by the caller for its descriptive columns); ``small`` says which
+    key sets were proven small enough to broadcast, in which case the fact side
+    is not shuffled for them. When one is too big, the rows are first
+    pre-aggregated to (customer, store, person, month), which collapses hot
+    keys map-side before the shuffled semi join.
     """
     s = sales.select("customer_id", "store_id", "sales_person_id",
                      month_of("sales_date").alias("month"), "total_cost")
-    dims = {
-        "customer": (customer, "customer_id", "customer_id"),
-        "store": (store, "store_id", "id"),
-        "sales_team": (sales_team, "sales_person_id", "id"),
-    }
-    chosen = [dims[c] for c in checks]
-    probe, all_small = semi_join_all(s, chosen, max_rows)
-    if not all_small:
-        pre = s.groupBy("customer_id", "store_id", "sales_person_id", "month").agg(
+    if not all(small):
+        s = s.groupBy("customer_id", "store_id", "sales_person_id", "month").agg(
             F.sum("total_cost").alias("total_cost"))
-        probe, _ = semi_join_all(pre, chosen, max_rows)
+    probe, _ = semi_join_all(s, checks, small=small)
     return probe.groupBy(*group).agg(money(F.sum("total_cost")).alias("total_sales"))
 
 
+def _plan_checks(dims: dict[str, DataFrame], semi: list[str], named: DataFrame, max_rows: int):
+    """Key-set semi-join specs for ``semi`` plus one concurrent size check of
+    every key set and of the ``named`` dimension projection."""
+    checks = [(dims[d], *_DIMS[d]) for d in semi]
+    sets = [key_set(k, fc, kc) for k, fc, kc in checks]
+    small = rows_at_most(sets + [named], max_rows)
+    return checks, small[:-1], small[-1]
+
+
 def sales_team_mart(sales: DataFrame, customer: DataFrame, store: DataFrame, sales_team: DataFrame,
                     max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """A7, the flagship: store_id, sales_person_id, full_name, sales_month,
     total_sales, incentive."""
-    monthly = _restricted_monthly(sales, customer, store, sales_team, ["customer", "store"],
-                                  ["store_id", "sales_person_id", "month"], max_rows)
     team = sales_team.select(F.col("id").alias("sales_person_id"),
                              full_name("first_name", "last_name").alias("full_name"))
-    team, _ = bounded_broadcast(team, max_rows)
-    named = monthly.join(team, "sales_person_id", "inner").select(
+    dims = {"customer": customer, "store": store, "sales_team": sales_team}
+    checks, small, team_small = _plan_checks(dims, ["customer", "store"], team, max_rows)
+    monthly = _restricted_monthly(sales, checks, small, ["store_id", "sales_person_id", "month"])
+    named = monthly.join(hint_if(team, team_small), "sales_person_id", "inner").select(
         "store_id", "sales_person_id", "full_name", F.col("month").alias("sales_month"), "total_sales")
     return salesperson_incentive(salesperson_rank(named))
 
@@ -145,11 +153,11 @@ def sales_team_mart(sales: DataFrame, customer: DataFrame, store: DataFrame, sal
 def customer_mart(sales: DataFrame, customer: DataFrame, store: DataFrame, sales_team: DataFrame,
                   max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """customer_id, full_name, address, phone_number, sales_date_month, total_sales."""
-    monthly = _restricted_monthly(sales, customer, store, sales_team, ["store", "sales_team"],
-                                  ["customer_id", "month"], max_rows)
     cust = customer.select("customer_id", full_name("first_name", "last_name").alias("full_name"),
                            "address", "phone_number")
-    cust, _ = bounded_broadcast(cust, max_rows)
-    return monthly.join(cust, "customer_id", "inner").select(
+    dims = {"customer": customer, "store": store, "sales_team": sales_team}
+    checks, small, cust_small = _plan_checks(dims, ["store", "sales_team"], cust, max_rows)
+    monthly = _restricted_monthly(sales, checks, small, ["customer_id", "month"])
+    return monthly.join(hint_if(cust, cust_small), "customer_id", "inner").select(
         "customer_id", "full_name", "address", "phone_number",
         F.col("month").alias("sales_date_month"), "total_sales")

@@ -9,6 +9,7 @@ on a guess.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -24,6 +25,20 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def rows_at_most(frames: list[DataFrame], max_rows: int) -> list[bool]:
+    """``row_count_at_most`` for several frames, run as concurrent Spark jobs."""
+    if max_rows <= 0:
+        return [False] * len(frames)
+    if len(frames) == 1:
+        return [row_count_at_most(frames[0], max_rows)]
+    with ThreadPoolExecutor(max_workers=len(frames)) as pool:
+        return list(pool.map(lambda f: row_count_at_most(f, max_rows), frames))
+
+
+def hint_if(df: DataFrame, small: bool) -> DataFrame:
+    return F.broadcast(df) if small else df
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
     """(df with a broadcast hint if its size is proven small, whether it was hinted)."""
     if max_rows > 0 and row_count_at_most(df, max_rows):
@@ -44,16 +59,24 @@ def semi_join(fact: DataFrame, keys: DataFrame, fact_col: str, key_col: str,
     return fact.join(k, fact_col, "left_semi"), small
 
 
-def semi_join_all(fact: DataFrame, checks, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+def key_set(keys: DataFrame, fact_col: str, key_col: str) -> DataFrame:
+    return keys.select(F.col(key_col).alias(fact_col)).where(F.col(fact_col).isNotNull())
+
+
+def semi_join_all(fact: DataFrame, checks, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                  small: list[bool] | None = None) -> tuple[DataFrame, bool]:
     """Apply several semi joins; ``checks`` is a list of (keys_df, fact_col, key_col).
 
-    Returns (result, all_broadcast).
+    The key sets' size bounds are checked concurrently (or taken from
+    ``small``). Returns (result, all_broadcast).
     """
-    out, all_small = fact, True
-    for keys, fact_col, key_col in checks:
-        out, small = semi_join(out, keys, fact_col, key_col, max_rows)
-        all_small = all_small and small
-    return out, all_small
+    sets = [key_set(k, fc, kc) for k, fc, kc in checks]
+    if small is None:
+        small = rows_at_most(sets, max_rows)
+    out = fact
+    for ks, (_, fact_col, _), sm in zip(sets, checks, small):
+        out = out.join(hint_if(ks, sm), fact_col, "left_semi")
+    return out, all(small)
 
 
 def require_unique(df: DataFrame, key: str, what: str) -> None:

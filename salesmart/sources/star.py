@@ -21,8 +21,18 @@ TABLES = (
 ).split()
 
 
+_READERS: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Reader of one driver table. The input tables are read-only, so the
+    reader (its file listing and footer schema) is built once per session."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _READERS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _READERS[key] = spark.read.parquet(path)
+    return df
 
 
 def sales_from_star(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
