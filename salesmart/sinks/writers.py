@@ -8,6 +8,7 @@ itself reads from: Spark would delete the input before reading it.
 from __future__ import annotations
 
 import time
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,14 +22,18 @@ class SelfOverwrite(ValueError):
 
 
 def _norm(p: str) -> str:
+    """Comparable form of a path or URI (``file:///x`` == ``file:/x`` == ``/x``)."""
     p = p.rstrip("/")
-    return p[len("file:"):] if p.startswith("file:") else p
+    if p.startswith("file:"):
+        p = "/" + p[len("file:"):].lstrip("/")
+    return p
 
 
 def guard_not_input(df: DataFrame, path: str) -> None:
     target = _norm(path)
     for f in df.inputFiles():
-        if _norm(f).startswith(target + "/") or _norm(f) == target:
+        f = _norm(unquote(f))
+        if f.startswith(target + "/") or f == target:
             raise SelfOverwrite(f"refusing to write {path}: it is read by this frame ({f})")
 
 
