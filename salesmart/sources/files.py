@@ -3,9 +3,14 @@
 * ``discover`` lists data files under a root recursively, keeping names that
   end in ``.csv`` in any letter case; the listing is a Spark scan of
   ``binaryFile`` metadata (``content`` is pruned, only paths are read).
-* ``read_headers`` gets the header of every file in **one** distributed pass:
+* ``read_headers`` gets the header of every file. Default: the discovered
+  file list (metadata only) is spread over tasks and each task reads just
+  the first line of its files with Arrow's file systems, so the probe costs
+  O(files), not O(bytes). Files whose URI scheme Arrow cannot open (e.g.
+  Hadoop's ``s3a://``) fall back to a Spark text scan of those files only:
   the first line of each file's first split, chosen by ``min_by`` over a
-  partition-ordered id; partial aggregation sends one row per file per task.
+  partition-ordered id (a filter on ``_metadata.file_block_start`` does not
+  prune splits, so this path reads the files whole).
 * ``read_sales_csv`` scans files with an explicit schema (no inference pass),
   binding columns by the header order of that file group.
 """
@@ -47,10 +52,56 @@ def header_columns(line) -> "F.Column":
     return F.transform(F.split(line, ","), lambda c: F.regexp_replace(c, r'^"(.*)"$', "$1"))
 
 
-def read_headers(spark: SparkSession, root: str | list[str], glob: str = CSV_GLOB) -> DataFrame:
-    """``file_path, header`` (array<string>) for every matching file, one pass."""
+# How much of a file the first-line probe reads at most.
+HEADER_PROBE_BYTES = 1 << 20
+
+
+def _first_lines(batches):
+    """mapInPandas helper: first line of each file path (NULL if unreadable)."""
+    import pandas as pd
+    import pyarrow.fs as pafs
+
+    for pdf in batches:
+        out = []
+        for path in pdf["file_path"]:
+            try:
+                fs, inner = pafs.FileSystem.from_uri(path)
+                with fs.open_input_stream(inner) as f:
+                    head = b""
+                    while b"\n" not in head and len(head) < HEADER_PROBE_BYTES:
+                        chunk = f.read(65536)
+                        if not chunk:
+                            break
+                        head += chunk
+                line = head.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8", errors="replace")
+                out.append(line.lstrip("\ufeff"))
+            except Exception:  # noqa: BLE001 - scheme unknown to Arrow: Spark scan fallback
+                out.append(None)
+        yield pd.DataFrame({"file_path": pdf["file_path"], "value": out})
+
+
+def read_headers(spark: SparkSession, root: str | list[str], glob: str = CSV_GLOB,
+                 method: str = "auto") -> DataFrame:
+    """``file_path, header`` (array<string>) for every matching file.
+
+    ``method="auto"`` probes first lines per file (Arrow, in tasks) and scans
+    with Spark only the files Arrow cannot open; ``"scan"`` always scans.
+    """
+    if method == "scan":
+        return _scan_headers(spark, root, glob)
+    files = _file_reader(spark, "binaryFile", glob).load(root).select(F.col("path").alias("file_path"))
+    probed = files.mapInPandas(_first_lines, "file_path string, value string").cache()
+    missing = [r.file_path for r in probed.where(F.col("value").isNull()).select("file_path").collect()]
+    got = probed.where(F.col("value").isNotNull()).select("file_path", header_columns("value").alias("header"))
+    if not missing:
+        return got
+    return got.unionByName(_scan_headers(spark, missing, glob))
+
+
+def _scan_headers(spark: SparkSession, root: str | list[str], glob: str = CSV_GLOB) -> DataFrame:
+    """Header probe by a Spark text scan (reads the files whole)."""
     reader = _file_reader(spark, "text", glob)
-    lines = reader.load(root) if isinstance(root, str) else reader.load(root)
+    lines = reader.load(root)
     first_split = lines.where(F.col("_metadata.file_block_start") == 0).select(
         F.col("_metadata.file_path").alias("file_path"),
         F.monotonically_increasing_id().alias("pos"),
