@@ -11,15 +11,18 @@ Two families of functions:
   aggregated result to the dimension for names. Same rows as the reference
   when dimension keys are unique, which ``plans.joins.require_unique`` checks.
 
-Money is decimal(18,2) throughout; sums are exact, so rank ties are stable.
+Money is decimal(18,2) throughout, summed exactly as bigint cents; rank ties
+are stable. Months are grouped on the month's first day and formatted as
+``YYYY-MM`` once per group, after the aggregation.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.functions.columns import full_name, incentive, money, month_of
+from salesmart.functions.columns import cents, cents_to_money, full_name, incentive, money_sum, month_of, month_start
+from salesmart.operators.ranking import rank_desc
 from salesmart.plans.joins import DEFAULT_BROADCAST_ROWS, hint_if, key_set, rows_at_most, semi_join_all
 
 CUSTOMER_MART_COLUMNS = ("customer_id", "full_name", "address", "phone_number", "sales_date_month", "total_sales")
@@ -56,32 +59,37 @@ def customer_monthly_window(rows: DataFrame) -> DataFrame:
     customer-month, distinct descriptive rows) joined on the group key.
     """
     r = rows.select("customer_id", full_name("first_name", "last_name").alias("full_name"),
-                    "address", "phone_number", month_of("sales_date").alias("sales_date_month"),
+                    "address", "phone_number", month_start("sales_date").alias("month"),
                     "total_cost")
-    keys = ["customer_id", "sales_date_month"]
-    totals = r.groupBy(*keys).agg(money(F.sum("total_cost")).alias("total_sales"))
+    keys = ["customer_id", "month"]
+    totals = r.groupBy(*keys).agg(money_sum("total_cost").alias("total_sales"))
     described = r.select(*keys, "full_name", "address", "phone_number").distinct()
-    return described.join(totals, keys, "inner").select(*CUSTOMER_MART_COLUMNS)
+    return (described.join(totals, keys, "inner")
+            .withColumn("sales_date_month", month_of("month"))
+            .select(*CUSTOMER_MART_COLUMNS))
 
 
 def salesperson_monthly(rows: DataFrame) -> DataFrame:
     """A2 + A3 over sales-mart rows: total per (store, person, month)."""
     r = rows.select("store_id", "sales_person_id",
                     full_name("sales_person_first_name", "sales_person_last_name").alias("full_name"),
-                    "sales_month", "total_cost")
-    keys = ["store_id", "sales_person_id", "sales_month"]
-    totals = r.groupBy(*keys).agg(money(F.sum("total_cost")).alias("total_sales"))
+                    month_start("sales_date").alias("month"), "total_cost")
+    keys = ["store_id", "sales_person_id", "month"]
+    totals = r.groupBy(*keys).agg(money_sum("total_cost").alias("total_sales"))
     described = r.select(*keys, "full_name").distinct()
     return described.join(totals, keys, "inner").select(
-        "store_id", "sales_person_id", "full_name", "sales_month", "total_sales")
+        "store_id", "sales_person_id", "full_name", month_of("month").alias("sales_month"), "total_sales")
 
 
-def salesperson_rank(monthly: DataFrame) -> DataFrame:
+def salesperson_rank(monthly: DataFrame, groups_bounded: bool = False,
+                     partitions: int | None = None) -> DataFrame:
     """A4: ``rank()`` within (store, month) by total descending; ties share a
-    rank. A window partition holds one store-month's sales people, a number
-    bounded by the sales-team dimension, not by the fact volume."""
-    w = Window.partitionBy("store_id", "sales_month").orderBy(F.col("total_sales").desc())
-    return monthly.withColumn("rnk", F.rank().over(w))
+    rank. A (store, month) group holds each sales person at most once, so a
+    counted bound on the sales-team dimension (``groups_bounded``) allows one
+    window partition per group; without it the range-split rank is used,
+    which never puts a whole hot store-month into one task."""
+    return rank_desc(monthly, ["store_id", "sales_month"], "total_sales", "rnk",
+                     groups_bounded=groups_bounded, partitions=partitions)
 
 
 def salesperson_incentive(ranked: DataFrame) -> DataFrame:
@@ -89,9 +97,9 @@ def salesperson_incentive(ranked: DataFrame) -> DataFrame:
     return ranked.withColumn("incentive", incentive("total_sales", "rnk")).select(*SALES_MART_COLUMNS)
 
 
-def sales_team_mart_from_rows(rows: DataFrame) -> DataFrame:
+def sales_team_mart_from_rows(rows: DataFrame, groups_bounded: bool = False) -> DataFrame:
     """A7 over sales-mart rows (e.g. read back from the partitioned mart)."""
-    return salesperson_incentive(salesperson_rank(salesperson_monthly(rows)))
+    return salesperson_incentive(salesperson_rank(salesperson_monthly(rows), groups_bounded))
 
 
 def customer_mart_from_rows(rows: DataFrame) -> DataFrame:
@@ -119,12 +127,12 @@ def _restricted_monthly(sales: DataFrame, checks, small: list[bool], group: list
     keys map-side before the shuffled semi join.
     """
     s = sales.select("customer_id", "store_id", "sales_person_id",
-                     month_of("sales_date").alias("month"), "total_cost")
+                     month_start("sales_date").alias("month"), cents("total_cost").alias("cents"))
     if not all(small):
         s = s.groupBy("customer_id", "store_id", "sales_person_id", "month").agg(
-            F.sum("total_cost").alias("total_cost"))
+            F.sum("cents").alias("cents"))
     probe, _ = semi_join_all(s, checks, small=small)
-    return probe.groupBy(*group).agg(money(F.sum("total_cost")).alias("total_sales"))
+    return probe.groupBy(*group).agg(cents_to_money(F.sum("cents")).alias("total_sales"))
 
 
 def _plan_checks(dims: dict[str, DataFrame], semi: list[str], named: DataFrame, max_rows: int):
@@ -146,8 +154,9 @@ def sales_team_mart(sales: DataFrame, customer: DataFrame, store: DataFrame, sal
     checks, small, team_small = _plan_checks(dims, ["customer", "store"], team, max_rows)
     monthly = _restricted_monthly(sales, checks, small, ["store_id", "sales_person_id", "month"])
     named = monthly.join(hint_if(team, team_small), "sales_person_id", "inner").select(
-        "store_id", "sales_person_id", "full_name", F.col("month").alias("sales_month"), "total_sales")
-    return salesperson_incentive(salesperson_rank(named))
+        "store_id", "sales_person_id", "full_name", month_of("month").alias("sales_month"), "total_sales")
+    # Each person occurs once per (store, month): a team proven small bounds every rank group.
+    return salesperson_incentive(salesperson_rank(named, groups_bounded=team_small))
 
 
 def customer_mart(sales: DataFrame, customer: DataFrame, store: DataFrame, sales_team: DataFrame,
@@ -160,4 +169,4 @@ def customer_mart(sales: DataFrame, customer: DataFrame, store: DataFrame, sales
     monthly = _restricted_monthly(sales, checks, small, ["customer_id", "month"])
     return monthly.join(hint_if(cust, cust_small), "customer_id", "inner").select(
         "customer_id", "full_name", "address", "phone_number",
-        F.col("month").alias("sales_date_month"), "total_sales")
+        month_of("month").alias("sales_date_month"), "total_sales")

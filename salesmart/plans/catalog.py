@@ -8,14 +8,23 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from salesmart.functions.columns import full_name, money, month_of
+from salesmart.functions.columns import full_name, money_sum, month_of, month_start
 from salesmart.operators import enrich as E
 from salesmart.operators import marts as M
 from salesmart.plans import oracle as O
+from salesmart.plans.joins import DEFAULT_BROADCAST_ROWS, rows_at_most
 from salesmart.plans.registry import register
 from salesmart.sources.star import customer_dim, sales_from_star, star_inputs
 
 
+def _rows_and_team_bound(spark, d):
+    """Sales-mart rows of the enriched sales, and whether the sales-team
+    dimension is proven small (which bounds every (store, month) rank group)."""
+    s, c, st, t = star_inputs(spark, d)
+    (team_small,) = rows_at_most([t.select("id")], DEFAULT_BROADCAST_ROWS)
+    return M.sales_mart_rows(E.enrich(s, c, st, t)), team_small
+
+
 # ------------------------------------------------------------------ joins J1–J4
 
 @register("join_customer", O.star_sql("""
@@ -80,8 +89,9 @@ SELECT substr(CAST(sales_date AS VARCHAR), 1, 7) AS sales_month, count(*) AS n_s
 FROM s_sales GROUP BY 1"""))
 def q_sales_month(spark, d):
     s = sales_from_star(spark, d)
-    return s.groupBy(month_of("sales_date").alias("sales_month")).agg(
-        F.count(F.lit(1)).alias("n_sales"), money(F.sum("total_cost")).alias("total_sales"))
+    return s.groupBy(month_start("sales_date").alias("month")).agg(
+        F.count(F.lit(1)).alias("n_sales"), money_sum("total_cost").alias("total_sales")
+    ).select(month_of("month").alias("sales_month"), "n_sales", "total_sales")
 
 
 @register("full_name", O.star_sql("""
@@ -114,13 +124,27 @@ def q_salesperson_monthly(spark, d):
 SELECT store_id, sales_person_id, full_name, sales_month, total_sales, rnk FROM ranked""",
                                          O.SALES_MART_SELECT))
 def q_salesperson_rank(spark, d):
-    ranked = M.salesperson_rank(M.salesperson_monthly(M.sales_mart_rows(E.enrich(*star_inputs(spark, d)))))
+    rows, bounded = _rows_and_team_bound(spark, d)
+    ranked = M.salesperson_rank(M.salesperson_monthly(rows), groups_bounded=bounded)
+    return ranked.withColumn("rnk", F.col("rnk").cast("bigint"))
+
+
+@register("salesperson_rank_range", O.star_sql("""
+SELECT store_id, sales_person_id, full_name, sales_month, total_sales, rnk FROM ranked""",
+                                               O.SALES_MART_SELECT))
+def q_salesperson_rank_range(spark, d):
+    """A4 by the range-split plan (the one taken when no bound proves the rank
+    groups small), on the whole table, with as many range partitions as the
+    session's shuffle setting."""
+    rows, _ = _rows_and_team_bound(spark, d)
+    ranked = M.salesperson_rank(M.salesperson_monthly(rows), groups_bounded=False)
     return ranked.withColumn("rnk", F.col("rnk").cast("bigint"))
 
 
 @register("salesperson_incentive", O.star_sql("SELECT * FROM mart", O.SALES_MART_SELECT))
 def q_salesperson_incentive(spark, d):
-    return M.sales_team_mart_from_rows(M.sales_mart_rows(E.enrich(*star_inputs(spark, d))))
+    rows, bounded = _rows_and_team_bound(spark, d)
+    return M.sales_team_mart_from_rows(rows, groups_bounded=bounded)
 
 
 @register("sales_team_mart", O.star_sql("SELECT * FROM mart", O.SALES_MART_SELECT))
