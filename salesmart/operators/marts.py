@@ -82,14 +82,14 @@ def salesperson_monthly(rows: DataFrame) -> DataFrame:
 
 
 def salesperson_rank(monthly: DataFrame, groups_bounded: bool = False,
-                     partitions: int | None = None) -> DataFrame:
+                     partitions: int | None = None, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """A4: ``rank()`` within (store, month) by total descending; ties share a
     rank. A (store, month) group holds each sales person at most once, so a
     counted bound on the sales-team dimension (``groups_bounded``) allows one
     window partition per group; without it the range-split rank is used,
     which never puts a whole hot store-month into one task."""
     return rank_desc(monthly, ["store_id", "sales_month"], "total_sales", "rnk",
-                     groups_bounded=groups_bounded, partitions=partitions)
+                     groups_bounded=groups_bounded, partitions=partitions, max_rows=max_rows)
 
 
 def salesperson_incentive(ranked: DataFrame) -> DataFrame:
@@ -156,7 +156,7 @@ def sales_team_mart(sales: DataFrame, customer: DataFrame, store: DataFrame, sal
     named = monthly.join(hint_if(team, team_small), "sales_person_id", "inner").select(
         "store_id", "sales_person_id", "full_name", month_of("month").alias("sales_month"), "total_sales")
     # Each person occurs once per (store, month): a team proven small bounds every rank group.
-    return salesperson_incentive(salesperson_rank(named, groups_bounded=team_small))
+    return salesperson_incentive(salesperson_rank(named, groups_bounded=team_small, max_rows=max_rows))
 
 
 def customer_mart(sales: DataFrame, customer: DataFrame, store: DataFrame, sales_team: DataFrame,

@@ -35,9 +35,21 @@ def test_lineitem_scan_is_pruned(spark):
 
 
 def test_shuffled_semi_path_preaggregates(spark):
-    text = _explain(M.sales_team_mart(*star_inputs(spark, SF_SMALL), max_rows=0))
-    assert "BroadcastExchange" not in text.split("LeftSemi")[0] or "SortMergeJoin" in text
-    assert text.count("HashAggregate") >= 4  # pre-aggregate (partial/final) before the semi joins
+    s, c, st, t = star_inputs(spark, SF_SMALL)
+    dims = {"customer": c, "store": st, "sales_team": t}
+    checks = [(dims[d], *M._DIMS[d]) for d in ("customer", "store")]
+    monthly = M._restricted_monthly(s, checks, [False, False], ["store_id", "sales_person_id", "month"])
+    text = _explain(monthly)
+    assert "LeftSemi" in text
+    # pre-aggregate (partial/final) below the semi joins, final sum (partial/final) above them
+    assert text.count("HashAggregate") >= 4
+    below = text.split("LeftSemi")[-1]
+    assert "HashAggregate" in below
+
+
+def test_unbounded_team_takes_range_split_rank(spark):
+    df = M.sales_team_mart(*star_inputs(spark, SF_SMALL), max_rows=0)
+    assert "_rank_part" in df._jdf.queryExecution().executedPlan().toString()
 
 
 def test_partitioned_mart_prunes_partitions(spark, tmpdir_str):
