@@ -90,7 +90,13 @@ def read_headers(spark: SparkSession, root: str | list[str], glob: str = CSV_GLO
     if method == "scan":
         return _scan_headers(spark, root, glob)
     files = _file_reader(spark, "binaryFile", glob).load(root).select(F.col("path").alias("file_path"))
-    probed = files.mapInPandas(_first_lines, "file_path string, value string").cache()
+    return headers_of(spark, files, glob)
+
+
+def headers_of(spark: SparkSession, files: DataFrame, glob: str = CSV_GLOB) -> DataFrame:
+    """S4 for a frame of ``file_path`` values (e.g. the new files of a stream
+    micro-batch): ``file_path, header``, probing first lines in tasks."""
+    probed = files.select("file_path").mapInPandas(_first_lines, "file_path string, value string").cache()
     missing = [r.file_path for r in probed.where(F.col("value").isNull()).select("file_path").collect()]
     got = probed.where(F.col("value").isNotNull()).select("file_path", header_columns("value").alias("header"))
     if not missing:
