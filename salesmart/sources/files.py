@@ -6,8 +6,9 @@
 * ``read_headers`` gets the header of every file. Default: the discovered
   file list (metadata only) is spread over tasks and each task reads just
   the first line of its files with Arrow's file systems, so the probe costs
-  O(files), not O(bytes). Files whose URI scheme Arrow cannot open (e.g.
-  Hadoop's ``s3a://``) fall back to a Spark text scan of those files only:
+  O(files), not O(bytes). Hadoop's ``s3a://``/``s3n://`` paths are opened as
+  ``s3://`` (``arrow_uri``). Files whose URI scheme Arrow cannot open fall
+  back to a Spark text scan of those files only:
   the first line of each file's first split, chosen by ``min_by`` over a
   partition-ordered id (a filter on ``_metadata.file_block_start`` does not
   prune splits, so this path reads the files whole).
@@ -55,6 +56,17 @@ def header_columns(line) -> "F.Column":
 # How much of a file the first-line probe reads at most.
 HEADER_PROBE_BYTES = 1 << 20
 
+# Hadoop URI schemes and the Arrow scheme that opens the same objects.
+ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
+def arrow_uri(path: str) -> str:
+    """The URI Arrow's file systems understand for a Hadoop path (``s3a://b/k``
+    → ``s3://b/k``); other paths are returned unchanged."""
+    scheme, sep, rest = path.partition("://")
+    alias = ARROW_SCHEMES.get(scheme.lower()) if sep else None
+    return f"{alias}://{rest}" if alias else path
+
 
 def _first_lines(batches):
     """mapInPandas helper: first line of each file path (NULL if unreadable)."""
@@ -65,7 +77,7 @@ def _first_lines(batches):
         out = []
         for path in pdf["file_path"]:
             try:
-                fs, inner = pafs.FileSystem.from_uri(path)
+                fs, inner = pafs.FileSystem.from_uri(arrow_uri(path))
                 with fs.open_input_stream(inner) as f:
                     head = b""
                     while b"\n" not in head and len(head) < HEADER_PROBE_BYTES:

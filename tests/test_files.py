@@ -54,3 +54,11 @@ def test_header_of_multi_split_file(spark, tmpdir_str):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert len(rows) == 1 and rows[0].header[0] == "customer_id"
+
+
+def test_arrow_uri_aliases_hadoop_s3_schemes():
+    from salesmart.sources.files import arrow_uri
+    assert arrow_uri("s3a://bucket/in/a.csv") == "s3://bucket/in/a.csv"
+    assert arrow_uri("S3N://bucket/a.csv") == "s3://bucket/a.csv"
+    assert arrow_uri("file:/tmp/a.csv") == "file:/tmp/a.csv"
+    assert arrow_uri("gs://b/a.csv") == "gs://b/a.csv"
