@@ -18,10 +18,10 @@ are stable. Months are grouped on the month's first day and formatted as
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesmart.functions.columns import cents, cents_to_money, full_name, incentive, money_sum, month_of, month_start
+from salesmart.functions.columns import cents, cents_to_money, full_name, incentive, month_of, month_start
 from salesmart.operators.ranking import rank_desc
 from salesmart.plans.joins import DEFAULT_BROADCAST_ROWS, hint_if, key_set, rows_at_most, semi_join_all
 
@@ -49,24 +49,33 @@ def sales_mart_rows(enriched: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------- aggregates over rows
 
+def _described_totals(r: DataFrame, keys: list[str], described: list[str]) -> DataFrame:
+    """Distinct (keys, described) rows, each with the whole total of its keys.
+
+    One pass: partial/final sums per (keys, described), then a window sum of
+    those sums per keys. The window partition holds one row per distinct
+    description of a key (one, unless the dimension repeats a key), never the
+    sale rows, so a hot key collapses map-side before any shuffle.
+    """
+    parts = r.groupBy(*keys, *described).agg(F.sum(cents("total_cost")).alias("_cents"))
+    whole = F.sum("_cents").over(Window.partitionBy(*keys))
+    return parts.withColumn("total_sales", cents_to_money(whole)).drop("_cents")
+
+
 def customer_monthly_window(rows: DataFrame) -> DataFrame:
     """A1 + A3 over customer-mart rows: each distinct (customer, name, address,
     phone, month) row carries the customer's whole-month total.
 
-    The reference writes ``sum() over (partition by customer, month)`` then
-    ``distinct``; a window would put all rows of one hot customer-month in one
-    task. The same result comes from two partial/final aggregations (totals per
-    customer-month, distinct descriptive rows) joined on the group key.
+    The reference writes ``sum() over (partition by customer, month)`` over
+    the sale rows, then ``distinct``; that window would put all rows of one
+    hot customer-month in one task. ``_described_totals`` gives the same rows
+    from aggregated input.
     """
     r = rows.select("customer_id", full_name("first_name", "last_name").alias("full_name"),
                     "address", "phone_number", month_start("sales_date").alias("month"),
                     "total_cost")
-    keys = ["customer_id", "month"]
-    totals = r.groupBy(*keys).agg(money_sum("total_cost").alias("total_sales"))
-    described = r.select(*keys, "full_name", "address", "phone_number").distinct()
-    return (described.join(totals, keys, "inner")
-            .withColumn("sales_date_month", month_of("month"))
-            .select(*CUSTOMER_MART_COLUMNS))
+    out = _described_totals(r, ["customer_id", "month"], ["full_name", "address", "phone_number"])
+    return out.withColumn("sales_date_month", month_of("month")).select(*CUSTOMER_MART_COLUMNS)
 
 
 def salesperson_monthly(rows: DataFrame) -> DataFrame:
@@ -74,11 +83,9 @@ def salesperson_monthly(rows: DataFrame) -> DataFrame:
     r = rows.select("store_id", "sales_person_id",
                     full_name("sales_person_first_name", "sales_person_last_name").alias("full_name"),
                     month_start("sales_date").alias("month"), "total_cost")
-    keys = ["store_id", "sales_person_id", "month"]
-    totals = r.groupBy(*keys).agg(money_sum("total_cost").alias("total_sales"))
-    described = r.select(*keys, "full_name").distinct()
-    return described.join(totals, keys, "inner").select(
-        "store_id", "sales_person_id", "full_name", month_of("month").alias("sales_month"), "total_sales")
+    out = _described_totals(r, ["store_id", "sales_person_id", "month"], ["full_name"])
+    return out.select("store_id", "sales_person_id", "full_name", month_of("month").alias("sales_month"),
+                      "total_sales")
 
 
 def salesperson_rank(monthly: DataFrame, groups_bounded: bool = False,
