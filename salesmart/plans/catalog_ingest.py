@@ -14,7 +14,7 @@ from salesmart.plans.landing import land, star_sales_with_status, status_of
 from salesmart.plans.registry import register
 from salesmart.schemas import EXTRA_COLUMN, MANDATORY_COLUMNS
 from salesmart.session import scratch_dir
-from salesmart.sources.files import discover, read_headers, read_sales_csv
+from salesmart.sources.files import discover, read_discovered_lines, read_headers, read_sales_csv
 
 _MAND = ", ".join(MANDATORY_COLUMNS)
 
@@ -35,8 +35,8 @@ def q_file_discovery(spark, d):
     """S2 + S3: only ``*.csv`` files are found (``.txt`` and ``.csv.gz`` decoys
     hold clean rows too and would inflate the counts)."""
     root = land(spark, d, scratch_dir(spark, "file_discovery"))
-    paths = [r.path for r in discover(spark, root).select("path").collect()]
-    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file_path"), "value")
+    discover(spark, root)  # raises when nothing matches
+    lines = read_discovered_lines(spark, root).select(F.col("_metadata.file_path").alias("file_path"), "value")
     data = lines.where(~F.col("value").startswith("customer_id,"))
     return data.groupBy(status_of().alias("status")).agg(F.count(F.lit(1)).alias("n_rows"))
 

@@ -45,6 +45,12 @@ def discover(spark: SparkSession, root: str, glob: str = CSV_GLOB, require: bool
     return files
 
 
+def read_discovered_lines(spark: SparkSession, root: str, glob: str = CSV_GLOB) -> DataFrame:
+    """Text lines of exactly the files ``discover`` lists (same recursive
+    lookup and suffix filter), read in one scan without a driver-side path list."""
+    return _file_reader(spark, "text", glob).load(root)
+
+
 def header_columns(line) -> "F.Column":
     """Split a header line on commas and strip one pair of surrounding quotes.
 
