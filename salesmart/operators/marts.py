@@ -48,18 +48,64 @@ def sales_mart_rows(enriched: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------- aggregates over rows
+#
+# The row-form marts are built from mergeable partial state: integer cents per
+# (group keys, descriptive columns). Parts of several runs merge by summing, so
+# an incremental job aggregates only its new rows and finishes the touched
+# months from the parts (``*_from_parts``), never from all raw rows again.
 
-def _described_totals(r: DataFrame, keys: list[str], described: list[str]) -> DataFrame:
+CUSTOMER_KEYS, CUSTOMER_DESCRIBED = ["customer_id", "month"], ["full_name", "address", "phone_number"]
+SALES_KEYS, SALES_DESCRIBED = ["store_id", "sales_person_id", "month"], ["full_name"]
+
+
+def _parts(r: DataFrame, keys: list[str], described: list[str]) -> DataFrame:
+    return r.groupBy(*keys, *described).agg(F.sum(cents("total_cost")).alias("cents"))
+
+
+def merge_parts(parts: DataFrame, keys: list[str], described: list[str]) -> DataFrame:
+    """Sum the parts of several runs per (keys, described)."""
+    return parts.groupBy(*keys, *described).agg(F.sum("cents").alias("cents"))
+
+
+def _with_whole_totals(parts: DataFrame, keys: list[str]) -> DataFrame:
     """Distinct (keys, described) rows, each with the whole total of its keys.
 
-    One pass: partial/final sums per (keys, described), then a window sum of
-    those sums per keys. The window partition holds one row per distinct
-    description of a key (one, unless the dimension repeats a key), never the
-    sale rows, so a hot key collapses map-side before any shuffle.
+    A window sum of the per-description sums per keys: its partition holds one
+    row per distinct description of a key (one, unless the dimension repeats a
+    key), never the sale rows, so a hot key has collapsed map-side before any
+    shuffle.
     """
-    parts = r.groupBy(*keys, *described).agg(F.sum(cents("total_cost")).alias("_cents"))
-    whole = F.sum("_cents").over(Window.partitionBy(*keys))
-    return parts.withColumn("total_sales", cents_to_money(whole)).drop("_cents")
+    whole = F.sum("cents").over(Window.partitionBy(*keys))
+    return parts.withColumn("total_sales", cents_to_money(whole)).drop("cents")
+
+
+def customer_parts(rows: DataFrame) -> DataFrame:
+    """Partial state of A1 over customer-mart rows: ``customer_id, month, full_name,
+    address, phone_number, cents``."""
+    r = rows.select("customer_id", full_name("first_name", "last_name").alias("full_name"),
+                    "address", "phone_number", month_start("sales_date").alias("month"),
+                    "total_cost")
+    return _parts(r, CUSTOMER_KEYS, CUSTOMER_DESCRIBED)
+
+
+def sales_parts(rows: DataFrame) -> DataFrame:
+    """Partial state of A2 over sales-mart rows: ``store_id, sales_person_id, month,
+    full_name, cents``."""
+    r = rows.select("store_id", "sales_person_id",
+                    full_name("sales_person_first_name", "sales_person_last_name").alias("full_name"),
+                    month_start("sales_date").alias("month"), "total_cost")
+    return _parts(r, SALES_KEYS, SALES_DESCRIBED)
+
+
+def _customer_finish(parts: DataFrame) -> DataFrame:
+    out = _with_whole_totals(parts, CUSTOMER_KEYS)
+    return out.withColumn("sales_date_month", month_of("month")).select(*CUSTOMER_MART_COLUMNS)
+
+
+def _monthly_finish(parts: DataFrame) -> DataFrame:
+    out = _with_whole_totals(parts, SALES_KEYS)
+    return out.select("store_id", "sales_person_id", "full_name", month_of("month").alias("sales_month"),
+                      "total_sales")
 
 
 def customer_monthly_window(rows: DataFrame) -> DataFrame:
@@ -68,24 +114,15 @@ def customer_monthly_window(rows: DataFrame) -> DataFrame:
 
     The reference writes ``sum() over (partition by customer, month)`` over
     the sale rows, then ``distinct``; that window would put all rows of one
-    hot customer-month in one task. ``_described_totals`` gives the same rows
-    from aggregated input.
+    hot customer-month in one task. Sums per description first, then a window
+    over those sums, give the same rows.
     """
-    r = rows.select("customer_id", full_name("first_name", "last_name").alias("full_name"),
-                    "address", "phone_number", month_start("sales_date").alias("month"),
-                    "total_cost")
-    out = _described_totals(r, ["customer_id", "month"], ["full_name", "address", "phone_number"])
-    return out.withColumn("sales_date_month", month_of("month")).select(*CUSTOMER_MART_COLUMNS)
+    return _customer_finish(customer_parts(rows))
 
 
 def salesperson_monthly(rows: DataFrame) -> DataFrame:
     """A2 + A3 over sales-mart rows: total per (store, person, month)."""
-    r = rows.select("store_id", "sales_person_id",
-                    full_name("sales_person_first_name", "sales_person_last_name").alias("full_name"),
-                    month_start("sales_date").alias("month"), "total_cost")
-    out = _described_totals(r, ["store_id", "sales_person_id", "month"], ["full_name"])
-    return out.select("store_id", "sales_person_id", "full_name", month_of("month").alias("sales_month"),
-                      "total_sales")
+    return _monthly_finish(sales_parts(rows))
 
 
 def salesperson_rank(monthly: DataFrame, groups_bounded: bool = False,
@@ -109,6 +146,17 @@ def sales_team_mart_from_rows(rows: DataFrame, groups_bounded: bool = False) ->
     return salesperson_incentive(salesperson_rank(salesperson_monthly(rows), groups_bounded))
 
 
+def sales_team_mart_from_parts(parts: DataFrame, groups_bounded: bool = False) -> DataFrame:
+    """A7 from the ``sales_parts`` of one or more runs (merged first)."""
+    monthly = _monthly_finish(merge_parts(parts, SALES_KEYS, SALES_DESCRIBED))
+    return salesperson_incentive(salesperson_rank(monthly, groups_bounded))
+
+
+def customer_mart_from_parts(parts: DataFrame) -> DataFrame:
+    """A6 from the ``customer_parts`` of one or more runs (merged first)."""
+    return _customer_finish(merge_parts(parts, CUSTOMER_KEYS, CUSTOMER_DESCRIBED))
+
+
 def customer_mart_from_rows(rows: DataFrame) -> DataFrame:
     """A6 over customer-mart rows."""
     return customer_monthly_window(rows)
