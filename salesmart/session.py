@@ -34,13 +34,25 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+class NoCheckpointDir(RuntimeError):
+    """A cluster session without ``spark.checkpoint.dir``."""
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session; set one only when unset."""
+    """The shared checkpoint folder of the session.
+
+    Taken from the session (``spark.checkpoint.dir``). Only a ``local[...]``
+    session without one (tests, the bench) gets a fresh temporary folder; on a
+    cluster a machine-local folder would not be shared by the executors, so a
+    missing setting raises instead.
+    """
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
+            if not sc.master.startswith("local"):
+                raise NoCheckpointDir("set spark.checkpoint.dir to a folder shared by all executors")
             root = tempfile.mkdtemp(prefix="salesmart-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root
