@@ -48,3 +48,31 @@ def test_totals_conserved_and_leaders_exist(spark):
     assert paid.where("total_sales <> top").count() == 0
     for r in mart.where("incentive > 0").limit(50).collect():
         assert r.incentive == (r.total_sales * Decimal("0.01")).quantize(Decimal("0.01"), "ROUND_HALF_UP")
+
+
+def test_parts_of_split_runs_merge_to_the_whole_mart(spark):
+    """Three 'runs' that each hold part of every month: merging their parts
+    gives the marts of all rows at once (totals and ranks whole)."""
+    s, c, st, t = star_inputs(spark, SF_SMALL)
+    enriched = E.enrich(s, c, st, t)
+    runs = [enriched.where(F.abs(F.hash("customer_id", "sales_person_id", "total_cost")) % 3 == k)
+            for k in range(3)]
+    sp = runs[0].transform(M.sales_mart_rows).transform(M.sales_parts)
+    cp = runs[0].transform(M.customer_mart_rows).transform(M.customer_parts)
+    for r in runs[1:]:
+        sp = sp.unionByName(M.sales_parts(M.sales_mart_rows(r)))
+        cp = cp.unionByName(M.customer_parts(M.customer_mart_rows(r)))
+    whole_s = M.sales_team_mart_from_rows(M.sales_mart_rows(enriched), groups_bounded=True)
+    assert _rows(M.sales_team_mart_from_parts(sp, groups_bounded=True)) == _rows(whole_s)
+    assert _rows(M.sales_team_mart_from_parts(sp, groups_bounded=False)) == _rows(whole_s)
+    assert _rows(M.customer_mart_from_parts(cp)) == _rows(M.customer_monthly_window(M.customer_mart_rows(enriched)))
+
+
+def test_row_form_window_runs_over_aggregated_rows(spark):
+    s, c, st, t = star_inputs(spark, SF_SMALL)
+    df = M.customer_monthly_window(M.customer_mart_rows(E.enrich(s, c, st, t)))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    # the Window's input is the final HashAggregate, not the joined sale rows
+    window_at = plan.index("Window")
+    assert "HashAggregate" in plan[window_at:]
+    assert plan[window_at:].index("HashAggregate") < plan[window_at:].index("BroadcastHashJoin")
