@@ -100,8 +100,15 @@ def load_accepted(spark: SparkSession, gated: DataFrame, with_source: bool = Fal
 def ingest(spark: SparkSession, root: str | list[str], error_root: str | None = None,
            with_source: bool = False) -> tuple[DataFrame, DataFrame]:
     """Gate every CSV under ``root``, quarantine the rejects (if ``error_root``),
-    return (accepted sales union, gate result)."""
+    return (accepted sales union, gate result).
+
+    The gate result is cached while it is used here and released before
+    returning; the sales union refers to file paths only, not to it."""
     gated = gate(read_headers(spark, root)).cache()
-    if error_root is not None:
-        quarantine(spark, gated, error_root)
-    return load_accepted(spark, gated, with_source=with_source), gated
+    try:
+        if error_root is not None:
+            quarantine(spark, gated, error_root)
+        sales = load_accepted(spark, gated, with_source=with_source)
+    finally:
+        gated.unpersist()
+    return sales, gated

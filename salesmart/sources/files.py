@@ -113,8 +113,13 @@ def read_headers(spark: SparkSession, root: str | list[str], glob: str = CSV_GLO
 
 def headers_of(spark: SparkSession, files: DataFrame, glob: str = CSV_GLOB) -> DataFrame:
     """S4 for a frame of ``file_path`` values (e.g. the new files of a stream
-    micro-batch): ``file_path, header``, probing first lines in tasks."""
-    probed = files.select("file_path").mapInPandas(_first_lines, "file_path string, value string").cache()
+    micro-batch): ``file_path, header``, probing first lines in tasks.
+
+    Nothing is cached here (a cache nobody unpersists would pin memory for
+    every micro-batch of a long-running stream): finding the unreadable files
+    is one O(files) pass, and callers that use the result more than once
+    cache it for the run and unpersist it."""
+    probed = files.select("file_path").mapInPandas(_first_lines, "file_path string, value string")
     missing = [r.file_path for r in probed.where(F.col("value").isNull()).select("file_path").collect()]
     got = probed.where(F.col("value").isNotNull()).select("file_path", header_columns("value").alias("header"))
     if not missing:
