@@ -11,6 +11,8 @@ for any Spark file scan; rows never do.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,13 +68,25 @@ def quarantine(spark: SparkSession, gated: DataFrame, error_root: str) -> DataFr
     return spark.read.parquet(f"{error_root}/manifest")
 
 
-def accepted_groups(gated: DataFrame) -> list:
-    """Header signatures of the accepted files, each with its sorted path list."""
-    return (gated.where("accepted")
-            .groupBy("header", "extras")
-            .agg(F.sort_array(F.collect_list("file_path")).alias("paths"))
-            .orderBy(F.col("header").cast("string"))
-            .collect())
+@dataclass(frozen=True)
+class SignatureGroup:
+    header: tuple[str, ...]
+    extras: tuple[str, ...]
+    paths: tuple[str, ...]
+
+
+def accepted_groups(gated: DataFrame) -> list[SignatureGroup]:
+    """Header signatures of the accepted files, each with its sorted path list.
+
+    A file reader needs its paths on the driver, as Spark's own file listing
+    does; the (signature, path) rows are streamed there partition by
+    partition, so no task gathers all paths of a signature into one group.
+    """
+    groups: dict[tuple, list[str]] = {}
+    rows = gated.where("accepted").select("header", "extras", "file_path")
+    for r in rows.toLocalIterator():
+        groups.setdefault((tuple(r.header), tuple(r.extras)), []).append(r.file_path)
+    return [SignatureGroup(h, e, tuple(sorted(p))) for (h, e), p in sorted(groups.items())]
 
 
 def load_accepted(spark: SparkSession, gated: DataFrame, with_source: bool = False) -> DataFrame:
