@@ -157,11 +157,6 @@ def customer_mart_from_parts(parts: DataFrame) -> DataFrame:
     return _customer_finish(merge_parts(parts, CUSTOMER_KEYS, CUSTOMER_DESCRIBED))
 
 
-def customer_mart_from_rows(rows: DataFrame) -> DataFrame:
-    """A6 over customer-mart rows."""
-    return customer_monthly_window(rows)
-
-
 # --------------------------------------------------------- aggregate-first marts
 
 _DIMS = {

@@ -61,8 +61,9 @@ def write_partitioned(df: DataFrame, path: str, partition_cols=SALES_MART_PARTIT
 
 
 def write_format(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
-                 header: bool = True, **options) -> None:
-    """K3: generic file writer (any built-in format); errors propagate."""
+                 header: bool = True, partition_by: tuple[str, ...] = (), **options) -> None:
+    """K3: generic file writer (any built-in format, optional partition
+    columns); errors propagate."""
     if mode == "overwrite":
         guard_not_input(df, path)
     w = df.write.format(fmt).mode(mode)
@@ -70,14 +71,15 @@ def write_format(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ov
         w = w.option("header", str(header).lower())
     for k, v in options.items():
         w = w.option(k, v)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
     w.save(path)
 
 
 def write_sales_report(mart: DataFrame, path: str) -> None:
-    """K5: the sales-team mart as a CSV report with header, one folder per month."""
-    guard_not_input(mart, path)
-    (mart.write.mode("overwrite").option("header", "true")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("sales_month").csv(path))
+    """K5: the sales-team mart as a CSV report with header, one folder per
+    month (dynamic overwrite: a rerun replaces only its months)."""
+    write_format(mart, path, "csv", partition_by=("sales_month",), partitionOverwriteMode="dynamic")
 
 
 def publish_version(df: DataFrame, root: str, run_ts: int | None = None) -> int:

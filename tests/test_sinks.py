@@ -29,3 +29,16 @@ def test_versions_latest_wins(spark, tmpdir_str):
     W.publish_version(spark.range(5), root, run_ts=2)
     assert W.read_latest(spark, root).count() == 5
     assert spark.read.parquet(root).count() == 8
+
+
+def test_jdbc_failures_raise(spark):
+    """A failing JDBC write or read raises (the reference's writer
+    swallowed errors). The URL names no installed driver, so no database is
+    opened."""
+    from salesmart.sinks import writers as W
+    df = spark.createDataFrame([(1, "a")], "id int, v string")
+    with pytest.raises(Exception, match="(?i)suitable driver|driver"):
+        W.write_jdbc(df, "jdbc:nosuchdb://nowhere/db", "t")
+    with pytest.raises(Exception, match="(?i)suitable driver|driver"):
+        W.read_jdbc(spark, "jdbc:nosuchdb://nowhere/db", "t", column="id", lower=0, upper=10,
+                    num_partitions=2).collect()
