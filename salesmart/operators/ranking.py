@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from salesmart.plans.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
 from salesmart.session import checkpoint_root
 
-_PART, _LOCAL, _BEFORE = "_rank_part", "_rank_local", "_rank_before"
+_PART, _GROUP, _LOCAL, _BEFORE = "_rank_part", "_rank_group", "_rank_local", "_rank_before"
 
 
 def rank_desc(df: DataFrame, group: list[str], order_col: str, out: str = "rnk",
@@ -52,20 +52,20 @@ def _rank_split(df: DataFrame, group: list[str], order_col: str, out: str,
     checkpoint_root(spark)
     # An explicit partition count keeps AQE from coalescing the range
     # partitions, so a partition id names one contiguous key range.
+    # The group travels as one struct: struct equality treats NULL fields as
+    # equal (a NULL group is a group of its own, as in a window), and it is a
+    # plain equi-join key, so the join below reuses the window's partitioning.
     spread = (df.repartitionByRange(n, *[F.col(c) for c in group], F.col(order_col).desc())
               .withColumn(_PART, F.spark_partition_id())
+              .withColumn(_GROUP, F.struct(*[F.col(c) for c in group]))
               .checkpoint(eager=True))
     local = spread.withColumn(
-        _LOCAL, F.rank().over(Window.partitionBy(_PART, *group).orderBy(F.col(order_col).desc())))
-    counts = spread.groupBy(_PART, *group).agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy(*group).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    keys = {c: f"_rank_key{i}" for i, c in enumerate([_PART, *group])}
-    offsets = counts.select(*[F.col(c).alias(k) for c, k in keys.items()],
-                            F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias(_BEFORE))
+        _LOCAL, F.rank().over(Window.partitionBy(_PART, _GROUP).orderBy(F.col(order_col).desc())))
+    counts = spread.groupBy(_PART, _GROUP).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(_GROUP).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(_PART, _GROUP, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias(_BEFORE))
     # One row per (partition, group): broadcast when a count proves it small,
-    # else a shuffled join (AQE may still convert it at run time).
+    # else a shuffled join that only moves the offsets.
     offsets, _ = bounded_broadcast(offsets, max_rows)
-    # Null-safe on the group keys: a NULL group is a group of its own, as in a window.
-    cond = [F.col(c).eqNullSafe(F.col(k)) for c, k in keys.items()]
-    return local.join(offsets, cond, "inner").select(
+    return local.join(offsets, [_PART, _GROUP], "inner").select(
         *df.columns, (F.col(_LOCAL) + F.col(_BEFORE)).cast("int").alias(out))
