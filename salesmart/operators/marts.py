@@ -172,17 +172,29 @@ def _restricted_monthly(sales: DataFrame, checks, small: list[bool], group: list
     ``checks`` are the dimensions applied here as semi joins (the remaining one
     is joined by the caller for its descriptive columns); ``small`` says which
     key sets were proven small enough to broadcast, in which case the fact side
-    is not shuffled for them. When one is too big, the rows are first
-    pre-aggregated to (customer, store, person, month), which collapses hot
-    keys map-side before the shuffled semi join.
+    is not shuffled for them.
+
+    A check on a key that is also a group key (the store of the sales-team
+    mart) filters whole groups, so it runs on the aggregated rows, after the
+    sum: fewer rows to probe, and the sum gets its own exchange on all group
+    keys after map-side partial sums. Were it a shuffled semi join below the
+    sum, the sum would reuse the semi join's partitioning on that one key,
+    putting each store's rows in one task, and AQE could not split the hot
+    one. The other checks run before the sum; when one of them is too big to
+    broadcast, the rows are first pre-aggregated to (customer, store, person,
+    month), which collapses hot keys map-side before the shuffled semi join.
     """
+    before = [(c, sm) for c, sm in zip(checks, small) if c[1] not in group]
+    after = [(c, sm) for c, sm in zip(checks, small) if c[1] in group]
     s = sales.select("customer_id", "store_id", "sales_person_id",
                      month_start("sales_date").alias("month"), cents("total_cost").alias("cents"))
-    if not all(small):
+    if not all(sm for _, sm in before):
         s = s.groupBy("customer_id", "store_id", "sales_person_id", "month").agg(
             F.sum("cents").alias("cents"))
-    probe, _ = semi_join_all(s, checks, small=small)
-    return probe.groupBy(*group).agg(cents_to_money(F.sum("cents")).alias("total_sales"))
+    probe, _ = semi_join_all(s, [c for c, _ in before], small=[sm for _, sm in before])
+    summed = probe.groupBy(*group).agg(cents_to_money(F.sum("cents")).alias("total_sales"))
+    out, _ = semi_join_all(summed, [c for c, _ in after], small=[sm for _, sm in after])
+    return out
 
 
 def _plan_checks(dims: dict[str, DataFrame], semi: list[str], named: DataFrame, max_rows: int):
