@@ -61,3 +61,31 @@ def test_partitioned_mart_prunes_partitions(spark, tmpdir_str):
     assert "PartitionFilters" in text and "sales_month" in text.split("PartitionFilters")[1].splitlines()[0]
     month_rows = rows.where("sales_month = '1996-03' AND store_id = 3").count()
     assert df.count() == month_rows
+
+
+def test_every_sum_has_its_own_exchange_when_nothing_is_broadcast(spark):
+    """At scale no side is broadcast. Then no final sum may reuse a join's
+    partitioning (that would put a hot join key in one task and stop AQE from
+    splitting it): each one reads an exchange of partial sums."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        s, c, st, t = star_inputs(spark, SF_SMALL)
+        dims = {"customer": c, "store": st, "sales_team": t}
+        team_checks = [(dims[d], *M._DIMS[d]) for d in ("customer", "store")]
+        frames = {
+            "sales-team monthly": M._restricted_monthly(s, team_checks, [False, False],
+                                                        ["store_id", "sales_person_id", "month"]),
+            "customer mart": M.customer_mart(s, c, st, t, max_rows=0),
+        }
+        for name, df in frames.items():
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            lines = [ln.lstrip(" :+-") for ln in plan.splitlines()]
+            finals = [i for i, ln in enumerate(lines)
+                      if ln.startswith("HashAggregate") and "sum(" in ln and "partial_sum(" not in ln]
+            assert finals, name
+            for i in finals:
+                assert lines[i + 1].startswith("Exchange"), f"{name}: sum over {lines[i + 1][:70]}"
+                assert "partial_sum(" in lines[i + 2], f"{name}: no partial sum below {lines[i + 1][:70]}"
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
