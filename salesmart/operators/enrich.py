@@ -77,14 +77,30 @@ def join_sales_team(df: DataFrame, sales_team: DataFrame,
     return df.join(t, "sales_person_id", "inner")
 
 
+# Join orders: the reference's (customer, store, sales team), and the one for
+# frames later grouped by store and sales person (customer last).
+REFERENCE_ORDER = ("customer", "store", "sales_team")
+FOR_SALES_TEAM = ("sales_team", "store", "customer")
+
+
 def enrich(sales: DataFrame, customer: DataFrame, store: DataFrame, sales_team: DataFrame,
-           max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+           max_rows: int = DEFAULT_BROADCAST_ROWS, order: tuple[str, ...] = REFERENCE_ORDER) -> DataFrame:
     """The full enrichment; output columns ``ENRICHED_COLUMNS``. The three
-    dimension size checks run as concurrent jobs."""
-    c, st, t = _customer_side(customer), _store_side(store), _team_side(sales_team)
-    cs, ss, ts = rows_at_most([c, st, t], max_rows)
-    s = sales.select("customer_id", "store_id", "sales_date", "sales_person_id", "total_cost")
-    df = (s.join(hint_if(c, cs), "customer_id", "inner")
-          .join(hint_if(st, ss), "store_id", "inner")
-          .join(hint_if(t, ts), "sales_person_id", "inner"))
+    dimension size checks run as concurrent jobs.
+
+    ``order`` only matters when a dimension is too big to broadcast: the last
+    shuffled join hands its partitioning on to what follows, and an
+    aggregation grouped by that key would reuse it (one task per key, with
+    AQE unable to split a hot one). So a caller that groups by store and
+    sales person joins the customer last (``FOR_SALES_TEAM``), one that groups
+    by customer keeps the sales team last (the default).
+    """
+    sides = {"customer": (_customer_side(customer), "customer_id"),
+             "store": (_store_side(store), "store_id"),
+             "sales_team": (_team_side(sales_team), "sales_person_id")}
+    small = dict(zip(sides, rows_at_most([side for side, _ in sides.values()], max_rows)))
+    df = sales.select("customer_id", "store_id", "sales_date", "sales_person_id", "total_cost")
+    for name in order:
+        side, key = sides[name]
+        df = df.join(hint_if(side, small[name]), key, "inner")
     return df.select(*ENRICHED_COLUMNS)

@@ -22,7 +22,7 @@ def _rows_and_team_bound(spark, d):
     dimension is proven small (which bounds every (store, month) rank group)."""
     s, c, st, t = star_inputs(spark, d)
     (team_small,) = rows_at_most([t.select("id")], DEFAULT_BROADCAST_ROWS)
-    return M.sales_mart_rows(E.enrich(s, c, st, t)), team_small
+    return M.sales_mart_rows(E.enrich(s, c, st, t, order=E.FOR_SALES_TEAM)), team_small
 
 
 # ------------------------------------------------------------------ joins J1–J4
@@ -78,7 +78,7 @@ SELECT store_id, sales_person_id, sales_person_first_name, sales_person_last_nam
        sales_date, total_cost, substr(CAST(sales_date AS VARCHAR), 1, 7) AS sales_month
 FROM enriched"""))
 def q_sales_mart_rows(spark, d):
-    return M.sales_mart_rows(E.enrich(*star_inputs(spark, d)))
+    return M.sales_mart_rows(E.enrich(*star_inputs(spark, d), order=E.FOR_SALES_TEAM))
 
 
 # -------------------------------------------------------------- functions F1–F2
@@ -117,7 +117,7 @@ def q_customer_monthly_window(spark, d):
 SELECT store_id, sales_person_id, full_name, sales_month, total_sales FROM monthly""",
                                             O.SALES_MART_SELECT))
 def q_salesperson_monthly(spark, d):
-    return M.salesperson_monthly(M.sales_mart_rows(E.enrich(*star_inputs(spark, d))))
+    return M.salesperson_monthly(M.sales_mart_rows(E.enrich(*star_inputs(spark, d), order=E.FOR_SALES_TEAM)))
 
 
 @register("salesperson_rank", O.star_sql("""

@@ -34,7 +34,7 @@ def q_partitioned_roundtrip(spark, d):
     the sales-team mart is then computed from the partitioned copy."""
     path = scratch_dir(spark, "partitioned_roundtrip")
     s, c, st, t = star_inputs(spark, d)
-    rows = M.sales_mart_rows(E.enrich(s, c, st, t))
+    rows = M.sales_mart_rows(E.enrich(s, c, st, t, order=E.FOR_SALES_TEAM))
     W.write_partitioned(rows, path)
     back = (spark.read.option("basePath", path).parquet(path)
             .withColumn("store_id", F.col("store_id").cast("bigint"))

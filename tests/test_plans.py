@@ -89,3 +89,24 @@ def test_every_sum_has_its_own_exchange_when_nothing_is_broadcast(spark):
                 assert "partial_sum(" in lines[i + 2], f"{name}: no partial sum below {lines[i + 1][:70]}"
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_row_form_sums_have_their_own_exchange_when_nothing_is_broadcast(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        s, c, st, t = star_inputs(spark, SF_SMALL)
+        frames = {
+            "sales parts": M.sales_parts(M.sales_mart_rows(E.enrich(s, c, st, t, max_rows=0,
+                                                                    order=E.FOR_SALES_TEAM))),
+            "customer parts": M.customer_parts(M.customer_mart_rows(E.enrich(s, c, st, t, max_rows=0))),
+        }
+        for name, df in frames.items():
+            lines = [ln.lstrip(" :+-") for ln in df._jdf.queryExecution().executedPlan().toString().splitlines()]
+            finals = [i for i, ln in enumerate(lines)
+                      if ln.startswith("HashAggregate") and "sum(" in ln and "partial_sum(" not in ln]
+            assert finals, name
+            for i in finals:
+                assert lines[i + 1].startswith("Exchange"), f"{name}: sum over {lines[i + 1][:70]}"
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
