@@ -85,8 +85,16 @@ FOR_SALES_TEAM = ("sales_team", "store", "customer")
 
 def enrich(sales: DataFrame, customer: DataFrame, store: DataFrame, sales_team: DataFrame,
            max_rows: int = DEFAULT_BROADCAST_ROWS, order: tuple[str, ...] = REFERENCE_ORDER) -> DataFrame:
-    """The full enrichment; output columns ``ENRICHED_COLUMNS``. The three
-    dimension size checks run as concurrent jobs.
+    """The full enrichment; output columns ``ENRICHED_COLUMNS``."""
+    return enrich_with_bounds(sales, customer, store, sales_team, max_rows, order)[0]
+
+
+def enrich_with_bounds(sales: DataFrame, customer: DataFrame, store: DataFrame, sales_team: DataFrame,
+                       max_rows: int = DEFAULT_BROADCAST_ROWS,
+                       order: tuple[str, ...] = REFERENCE_ORDER) -> tuple[DataFrame, dict[str, bool]]:
+    """J4, plus which dimensions were proven to hold at most ``max_rows`` rows
+    (``customer``, ``store``, ``sales_team``). The three dimension size checks
+    run as concurrent jobs.
 
     ``order`` only matters when a dimension is too big to broadcast: the last
     shuffled join hands its partitioning on to what follows, and an
@@ -103,4 +111,4 @@ def enrich(sales: DataFrame, customer: DataFrame, store: DataFrame, sales_team:
     for name in order:
         side, key = sides[name]
         df = df.join(hint_if(side, small[name]), key, "inner")
-    return df.select(*ENRICHED_COLUMNS)
+    return df.select(*ENRICHED_COLUMNS), small

@@ -12,7 +12,6 @@ from salesmart.functions.columns import full_name, money_sum, month_of, month_st
 from salesmart.operators import enrich as E
 from salesmart.operators import marts as M
 from salesmart.plans import oracle as O
-from salesmart.plans.joins import DEFAULT_BROADCAST_ROWS, rows_at_most
 from salesmart.plans.registry import register
 from salesmart.sources.star import customer_dim, sales_from_star, star_inputs
 
@@ -20,9 +19,8 @@ from salesmart.sources.star import customer_dim, sales_from_star, star_inputs
 def _rows_and_team_bound(spark, d):
     """Sales-mart rows of the enriched sales, and whether the sales-team
     dimension is proven small (which bounds every (store, month) rank group)."""
-    s, c, st, t = star_inputs(spark, d)
-    (team_small,) = rows_at_most([t.select("id")], DEFAULT_BROADCAST_ROWS)
-    return M.sales_mart_rows(E.enrich(s, c, st, t, order=E.FOR_SALES_TEAM)), team_small
+    enriched, small = E.enrich_with_bounds(*star_inputs(spark, d), order=E.FOR_SALES_TEAM)
+    return M.sales_mart_rows(enriched), small["sales_team"]
 
 
 # ------------------------------------------------------------------ joins J1–J4

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from salesmart.operators import enrich as E
 from salesmart.operators import marts as M
 from salesmart.plans import oracle as O
-from salesmart.plans.joins import DEFAULT_BROADCAST_ROWS, rows_at_most
 from salesmart.plans.landing import star_sales_with_status
 from salesmart.plans.registry import register
 from salesmart.schemas import SALES_MART
@@ -33,14 +32,13 @@ def q_partitioned_roundtrip(spark, d):
     """K2: sales-mart rows written Hive-partitioned by (sales_month, store_id);
     the sales-team mart is then computed from the partitioned copy."""
     path = scratch_dir(spark, "partitioned_roundtrip")
-    s, c, st, t = star_inputs(spark, d)
-    rows = M.sales_mart_rows(E.enrich(s, c, st, t, order=E.FOR_SALES_TEAM))
+    enriched, small = E.enrich_with_bounds(*star_inputs(spark, d), order=E.FOR_SALES_TEAM)
+    rows = M.sales_mart_rows(enriched)
     W.write_partitioned(rows, path)
     back = (spark.read.option("basePath", path).parquet(path)
             .withColumn("store_id", F.col("store_id").cast("bigint"))
             .withColumn("sales_month", F.col("sales_month").cast("string")))
-    (team_small,) = rows_at_most([t.select("id")], DEFAULT_BROADCAST_ROWS)
-    return M.sales_team_mart_from_rows(back, groups_bounded=team_small)
+    return M.sales_team_mart_from_rows(back, groups_bounded=small["sales_team"])
 
 
 @register("csv_report_roundtrip", O.star_sql("SELECT * FROM mart", O.SALES_MART_SELECT))
