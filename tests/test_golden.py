@@ -1,11 +1,14 @@
 from decimal import Decimal
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from golden import dims, write_files
 from salesmart.operators import enrich as E
 from salesmart.operators import ingest as I
 from salesmart.operators import marts as M
+from salesmart.schemas import MANDATORY_COLUMNS
 from salesmart.sources.files import read_headers
 
 D = Decimal
@@ -118,3 +121,20 @@ def test_incentive_type_is_decimal(spark, tmpdir_str):
     types = dict(m.dtypes)
     assert types["total_sales"] == "decimal(18,2)" and types["incentive"] == "decimal(18,2)"
     assert m.where(F.col("incentive") > 0).count() == 4
+
+
+_names = st.sampled_from(list(MANDATORY_COLUMNS) + ["payment_mode", "note", "Store_ID", "x"])
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.lists(_names, min_size=1, max_size=12, unique=True), min_size=1, max_size=6))
+def test_gate_matches_set_semantics(spark, headers):
+    """missing = mandatory − header, extras = header − mandatory (header
+    order kept), case-sensitive, order-free acceptance."""
+    df = spark.createDataFrame([(f"f{i}", h) for i, h in enumerate(headers)], "file_path string, header array<string>")
+    got = {r.file_path: r for r in I.gate(df).collect()}
+    for i, h in enumerate(headers):
+        r = got[f"f{i}"]
+        assert list(r.missing) == [c for c in MANDATORY_COLUMNS if c not in h]
+        assert list(r.extras) == [c for c in h if c not in MANDATORY_COLUMNS]
+        assert r.accepted == set(MANDATORY_COLUMNS).issubset(h)
