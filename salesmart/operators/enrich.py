@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.plans.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast, hint_if, rows_at_most
+from salesmart.plans.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast, hint_if, small_enough
 
 # Columns of the enriched row, in output order.
 ENRICHED_COLUMNS = (
@@ -106,7 +106,7 @@ def enrich_with_bounds(sales: DataFrame, customer: DataFrame, store: DataFrame,
     sides = {"customer": (_customer_side(customer), "customer_id"),
              "store": (_store_side(store), "store_id"),
              "sales_team": (_team_side(sales_team), "sales_person_id")}
-    small = dict(zip(sides, rows_at_most([side for side, _ in sides.values()], max_rows)))
+    small = dict(zip(sides, small_enough([side for side, _ in sides.values()], max_rows)))
     df = sales.select("customer_id", "store_id", "sales_date", "sales_person_id", "total_cost")
     for name in order:
         side, key = sides[name]

@@ -1,10 +1,11 @@
-"""Join strategy helpers: broadcast only behind a counted size bound.
-
-A dimension is broadcast when a bounded count proves it has at most
-``max_rows`` rows (``limit(max_rows + 1).count()`` stops reading early);
-otherwise the join is left to a shuffle (sort-merge, or AQE's runtime
-conversion, which measures the real shuffle size). Nothing is ever broadcast
-on a guess.
+"""Join strategy helpers: broadcast only behind a proven size bound.
+
+A side is broadcast when one bounded scan proves it has at most ``max_rows``
+rows *and* at most ``max_bytes`` bytes of row data: ``limit(max_rows + 1)``
+stops reading early, and the same job sums the byte length of every string or
+binary value plus the fixed width of the other columns. Otherwise the join is
+left to a shuffle (sort-merge, or AQE's runtime conversion, which measures the
+real shuffle size). Nothing is ever broadcast on a guess.
 """
 
 from __future__ import annotations
@@ -12,27 +13,64 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Default bound for broadcasting a (projected) dimension side: a key set of a
-# million bigints is ~8 MB; a narrow dimension row of ~100 bytes ~100 MB.
+# Default bounds for broadcasting a (projected) side: a key set of a million
+# bigints is 8 MB; wide dimension rows stop at 128 MB of row data (the hash
+# relation built from it takes about twice that per executor).
 DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_BYTES = 128 << 20
+
+
+# Bytes per value of the fixed-width types.
+FIXED_WIDTH = {
+    T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.LongType: 8,
+    T.FloatType: 4, T.DoubleType: 8, T.DateType: 4, T.TimestampType: 8, T.TimestampNTZType: 8,
+    T.NullType: 1,
+}
+
 
+def _value_bytes(name: str, t: T.DataType) -> Column:
+    c = F.col(f"`{name}`")
+    if isinstance(t, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0))
+    if isinstance(t, T.DecimalType):
+        return F.lit(8 if t.precision <= 18 else 16)
+    width = FIXED_WIDTH.get(type(t))
+    if width is not None:
+        return F.lit(width)
+    # nested or other types: the length of the value's JSON text
+    return F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (bounded scan)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+
+def _row_bytes(df: DataFrame) -> Column:
+    """Byte size of one row's data: exact for strings and binaries, the fixed
+    width for numbers, dates and times, the JSON text length otherwise."""
+    parts = [_value_bytes(f.name, f.dataType) for f in df.schema.fields]
+    return reduce(lambda a, b: a + b, parts, F.lit(0))
+
+
+def size_at_most(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes of
+    row data (one bounded scan)."""
+    if max_rows <= 0:
+        return False
+    got = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
+                                     F.sum(_row_bytes(df)).alias("b")).first()
+    return got.n <= max_rows and (got.b or 0) <= max_bytes
 
 
-def rows_at_most(frames: list[DataFrame], max_rows: int) -> list[bool]:
-    """``row_count_at_most`` for several frames, run as concurrent Spark jobs."""
+def small_enough(frames: list[DataFrame], max_rows: int,
+                 max_bytes: int = DEFAULT_BROADCAST_BYTES) -> list[bool]:
+    """``size_at_most`` for several frames, run as concurrent Spark jobs."""
     if max_rows <= 0:
         return [False] * len(frames)
     if len(frames) == 1:
-        return [row_count_at_most(frames[0], max_rows)]
+        return [size_at_most(frames[0], max_rows, max_bytes)]
     with ThreadPoolExecutor(max_workers=len(frames)) as pool:
-        return list(pool.map(lambda f: row_count_at_most(f, max_rows), frames))
+        return list(pool.map(lambda f: size_at_most(f, max_rows, max_bytes), frames))
 
 
 def hint_if(df: DataFrame, small: bool) -> DataFrame:
@@ -41,7 +79,7 @@ def hint_if(df: DataFrame, small: bool) -> DataFrame:
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
     """(df with a broadcast hint if its size is proven small, whether it was hinted)."""
-    if max_rows > 0 and row_count_at_most(df, max_rows):
+    if size_at_most(df, max_rows):
         return F.broadcast(df), True
     return df, False
 
@@ -72,7 +110,7 @@ def semi_join_all(fact: DataFrame, checks, max_rows: int = DEFAULT_BROADCAST_ROW
     """
     sets = [key_set(k, fc, kc) for k, fc, kc in checks]
     if small is None:
-        small = rows_at_most(sets, max_rows)
+        small = small_enough(sets, max_rows)
     out = fact
     for ks, (_, fact_col, _), sm in zip(sets, checks, small):
         out = out.join(hint_if(ks, sm), fact_col, "left_semi")

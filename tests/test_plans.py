@@ -110,3 +110,13 @@ def test_row_form_sums_have_their_own_exchange_when_nothing_is_broadcast(spark):
                 assert lines[i + 1].startswith("Exchange"), f"{name}: sum over {lines[i + 1][:70]}"
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_broadcast_proof_bounds_rows_and_bytes(spark):
+    from salesmart.plans.joins import size_at_most, small_enough
+    df = spark.createDataFrame([(i, "x" * 1000) for i in range(100)], "id long, s string")
+    assert size_at_most(df, 100, 200_000)            # 100 rows, ~100.8 KB
+    assert not size_at_most(df, 99, 10 ** 9)         # one row too many
+    assert not size_at_most(df, 100, 50_000)         # rows fit, bytes do not
+    assert small_enough([df, df.limit(10)], 50) == [False, True]
+    assert small_enough([df], 0) == [False]
