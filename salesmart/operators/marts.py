@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from salesmart.functions.columns import cents, cents_to_money, full_name, incentive, month_of, month_start
 from salesmart.operators.ranking import rank_desc
-from salesmart.plans.joins import DEFAULT_BROADCAST_ROWS, hint_if, key_set, small_enough, semi_join_all
+from salesmart.plans.joins import DEFAULT_BROADCAST_ROWS, hint_if, key_set, semi_join_all, small_enough
 
 CUSTOMER_MART_COLUMNS = ("customer_id", "full_name", "address", "phone_number", "sales_date_month", "total_sales")
 SALES_MART_COLUMNS = ("store_id", "sales_person_id", "full_name", "sales_month", "total_sales", "incentive")
