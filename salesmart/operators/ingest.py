@@ -75,17 +75,26 @@ class SignatureGroup:
     paths: tuple[str, ...]
 
 
+# Hash buckets per header signature when gathering paths.
+PATH_BUCKETS = 64
+
+
 def accepted_groups(gated: DataFrame) -> list[SignatureGroup]:
     """Header signatures of the accepted files, each with its sorted path list.
 
     A file reader needs its paths on the driver, as Spark's own file listing
-    does; the (signature, path) rows are streamed there partition by
-    partition, so no task gathers all paths of a signature into one group.
+    does. One job gathers them grouped by (signature, hash bucket of the path):
+    each header travels once per group, and no task gathers all paths of one
+    signature (a per-partition ``toLocalIterator`` would run one job per input
+    split instead).
     """
+    rows = (gated.where("accepted")
+            .groupBy("header", "extras", F.pmod(F.xxhash64("file_path"), F.lit(PATH_BUCKETS)).alias("_b"))
+            .agg(F.collect_list("file_path").alias("paths"))
+            .collect())
     groups: dict[tuple, list[str]] = {}
-    rows = gated.where("accepted").select("header", "extras", "file_path")
-    for r in rows.toLocalIterator():
-        groups.setdefault((tuple(r.header), tuple(r.extras)), []).append(r.file_path)
+    for r in rows:
+        groups.setdefault((tuple(r.header), tuple(r.extras)), []).extend(r.paths)
     return [SignatureGroup(h, e, tuple(sorted(p))) for (h, e), p in sorted(groups.items())]
 
 
