@@ -55,3 +55,19 @@ def test_split_rank_property(spark, pairs, parts):
                       if g2 == g and v2 is not None and (v is None or v2 > v))
         expected[i] = 1 + greater
     assert {r.id: r.rnk for r in split.select("id", "rnk").collect()} == expected
+
+
+def test_split_rank_with_shuffled_offsets(spark):
+    """max_rows=0: the offsets are not broadcast; the struct-keyed sort-merge
+    join reuses the window's partitioning and gives the same ranks."""
+    rows = [(i, i % 3, "m" if i % 5 else None, None if i % 41 == 0 else (i * 31) % 17) for i in range(600)]
+    df = _frame(spark, rows)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        split = rank_desc(df, ["g1", "g2"], "v", groups_bounded=False, partitions=6, max_rows=0)
+        plan = split._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+        assert _ranks(split) == _ranks(rank_desc(df, ["g1", "g2"], "v", groups_bounded=True))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
