@@ -1,6 +1,7 @@
 """Toxicity: a counterfactual-regularised word classifier.
 
-A logistic model over the distinct words of a text. For every labelled
+A logistic model over the distinct words of a text and their beginnings (one
+or at least two distinct words with it). For every labelled
 sentence that names an identity group, counterfactual sentences are made by
 swapping the term for each other term and for a neutral word; the squared
 change of the log odds is penalised, so a group's name alone cannot make a
@@ -33,18 +34,49 @@ IDENTITY_TERMS = (
 )
 #: Bounds of the learning sample: documents per label, characters of a document, words kept.
 PER_LABEL, MAX_CHARS, MAX_WORDS = 2500, 20_000, 4096
+#: Lengths of the word beginnings; words remembered by a scoring task.
+BEGINNINGS, MEMO = (4, 5, 6, 7), 300_000
 _WORD = re.compile(r"[^\W\d_]+")
 _SENTENCE = re.compile(r"[.!?\n]+")
 
 
+def word_features(word: str) -> list[str]:
+    return [word, *("<" + word[:n] for n in BEGINNINGS if len(word) >= n)]
+
+
+def features(words: set[str], known: set[str] | None = None) -> set[str]:
+    """Features of a text with the distinct ``words``; a feature of at least
+    two of them counts again under its name + "+"."""
+    once: set[str] = set()
+    twice: set[str] = set()
+    for w in words:
+        for f in word_features(w):
+            if known is None or f in known:
+                (twice if f in once else once).add(f)
+    return once | {f + "+" for f in twice}
+
+
 class ToxicModel:
     def __init__(self, weights: dict[str, float], bias: float) -> None:
         self.weights, self.bias = weights, bias
+        self.base = {f.rstrip("+") for f in weights}
 
     def score(self, texts) -> np.ndarray:
-        w, known = self.weights, self.weights.keys()
-        z = [self.bias if not t else self.bias + sum(sorted(w[x] for x in known & set(_WORD.findall(t.lower()))))
-             for t in texts]
+        w, base = self.weights, self.base
+        hit: dict[str, bool] = {}          # word -> has it a feature of the model
+        z = []
+        for t in texts:
+            words = set(_WORD.findall(t.lower())) if t else ()
+            some = set()
+            for x in words:
+                h = hit.get(x)
+                if h is None:
+                    h = hit[x] = not base.isdisjoint(word_features(x))
+                if h:
+                    some.add(x)
+            z.append(self.bias + sum(sorted(w.get(f, 0.0) for f in features(some, base))))
+            if len(hit) > MEMO:
+                hit.clear()
         return 1 / (1 + np.exp(-np.clip(np.array(z, dtype=np.float64), -30, 30)))
 
 
@@ -67,7 +99,7 @@ def counterfactuals(sentences: list[str], terms: tuple[str, ...] = IDENTITY_TERM
 def fit(texts: list[str], y: np.ndarray, terms: tuple[str, ...] = IDENTITY_TERMS, max_words: int = MAX_WORDS,
         penalty: float = 1.0, l1: float = 2e-3, steps: int = 400, rate: float = 0.05) -> ToxicModel:
     """Proximal Adam on logistic loss + ``penalty`` x counterfactual changes."""
-    sets = [set(_WORD.findall(t.lower())) for t in texts]
+    sets = [features(set(_WORD.findall(t.lower()))) for t in texts]
     if not len(y) or len(set(y.tolist())) < 2:
         p = (float(y.mean()) if len(y) else 0.0)
         return ToxicModel({}, float(np.log((p + 0.01) / (1.01 - p))))
