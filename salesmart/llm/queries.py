@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import langid, quality, toxicity
+from salesmart.llm import langid, packing, quality, substring, toxicity
 from salesmart.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,18 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.train(docs.filter(crc_mod("doc_id", 4) != 2))
     return langid.identify(docs.select("doc_id", "text"), model).select(
         "doc_id", _held_out(4, 2).alias("held_out"), "lang_pred", "score")
+
+
+@register("op9_best_fit_packing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, tokenised and packed into sequences of at most 1024 ids."""
+    import public_tokenizers
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@register("op10_substring_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document outside repeated 20-word windows."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring.remove_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
