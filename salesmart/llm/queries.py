@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import langid, packing, quality, substring, toxicity
+from salesmart.llm import langid, neardup, packing, quality, substring, toxicity
 from salesmart.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document outside repeated 20-word windows."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring.remove_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op4_minhash_near_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents at similarity 0.85."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), 85)
