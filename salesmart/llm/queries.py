@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import langid, neardup, packing, quality, substring, toxicity
+from salesmart.llm import fingerprint, langid, neardup, packing, quality, substring, toxicity, urlfilter
 from salesmart.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,41 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents at similarity 0.85."""
     return neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), 85)
+
+
+#: The rules of op7 (fixed values): host, path, verdict.
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+             ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+_OP7_SQL = """
+WITH u AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), h AS (
+  SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM u
+), p AS (
+  SELECT page_id, translate(coalesce(raw, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*'), '') AS path FROM h
+), r(rule_host, rule_path, rule_verdict) AS (VALUES
+  ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+  ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+), f AS (
+  SELECT page_id, host, path, rule_host || rule_path AS rule, rule_verdict,
+         row_number() OVER (PARTITION BY page_id ORDER BY length(rule_host || rule_path) DESC NULLS LAST) AS n
+  FROM p LEFT JOIN r ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+)
+SELECT page_id, host, path, rule, coalesce(rule_verdict, 'allow') AS verdict FROM f WHERE n = 1
+"""
+
+
+@register("op7_url_filter", _OP7_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, longest fitting rule and verdict of every page."""
+    rules = urlfilter.rule_table(spark, URL_RULES)
+    return urlfilter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), rules).select(
+        "page_id", "host", "path", "rule", "verdict")
+
+
+@register("op8_weighted_fingerprints")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Consistent weighted sampling fingerprints of every document and of its edited text."""
+    return fingerprint.compare_with_edits(table(spark, sf_dir, "documents").select("doc_id", "text"))
