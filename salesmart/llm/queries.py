@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import fingerprint, langid, neardup, packing, quality, substring, toxicity, urlfilter
+from salesmart.llm import (decontam, fingerprint, langid, neardup, packing, quality, substring, toxicity, urlfilter,
+                           wordpiece)
 from salesmart.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +117,21 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Consistent weighted sampling fingerprints of every document and of its edited text."""
     return fingerprint.compare_with_edits(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@register("op1_benchmark_decontamination")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that leak a benchmark item, verbatim or re-parameterised."""
+    return decontam.leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op5_word_piece_counts")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and greedy word pieces of every document."""
+    import public_tokenizers
+    pieces = wordpiece.vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+    return wordpiece.count_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"), pieces).select(
+        "doc_id", "n_words", "n_pieces")
+
+
+register("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

@@ -37,13 +37,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from salesmart.llm.bittable import bit_table, in_table
 from salesmart.llm.common import map_batches, saved
 from salesmart.llm.fmindex import FmIndex
 from salesmart.llm.wordhash import Hasher, buffers, mix, split_words, windows
 
 WINDOW, SEED = 20, 8
-#: Regions per shard, regions of one seed above which its shard is split, bits of the seed table.
-SHARD, HOT, MAX_BITS = 30_000, 20_000, 1 << 28
+#: Regions per shard, regions of one seed above which its shard is split.
+SHARD, HOT = 30_000, 20_000
 
 REGION = T.StructType([
     T.StructField("shard", T.LongType()), T.StructField("indexed", T.BooleanType()),
@@ -123,27 +124,6 @@ def seed_counts(docs: DataFrame, n: int, seed: int) -> DataFrame:
             .filter("a <> b or twice = 1").select("seed", "regions"))
 
 
-def seed_table(seeds: DataFrame, count: int) -> np.ndarray:
-    """Bit table of the seeds, two bits each; at most ``MAX_BITS`` bits."""
-    bits = 1 << int(np.clip(16 * max(count, 1), 1 << 16, MAX_BITS) - 1).bit_length()
-    place = F.explode(F.array(F.col("seed").bitwiseAND(F.lit(bits - 1)),
-                              F.shiftrightunsigned("seed", 32).bitwiseAND(F.lit(bits - 1))))
-    got = (seeds.select(place.alias("at")).select(F.shiftrightunsigned("at", 6).alias("word"),
-                                                  F.expr("shiftleft(1L, cast(at & 63 as int))").alias("bit"))
-           .groupBy("word").agg(F.bit_or("bit").alias("bit")).toArrow())
-    out = np.zeros(bits >> 6, dtype=np.int64)
-    out[got["word"].to_numpy()] = got["bit"].to_numpy()
-    return out.view(np.uint64)
-
-
-def in_table(table: np.ndarray, v: np.ndarray) -> np.ndarray:
-    mask = np.uint64(len(table) * 64 - 1)
-    ok = np.ones(len(v), dtype=bool)
-    for at in (v & mask, (v >> np.uint64(32)) & mask):
-        ok &= (table[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
-    return ok
-
-
 def regions(docs: DataFrame, n: int, seed: int, table: np.ndarray, shards: int, hot: dict[int, int]) -> DataFrame:
     """Regions for the shards; regions that repeat an earlier one of their
     batch have no ``shard`` and no ``words``: all their windows are repeats."""
@@ -257,7 +237,7 @@ def repeated_spans(docs: DataFrame, n: int = WINDOW, seed: int = SEED) -> DataFr
     total = seeds.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("regions"), F.lit(0)).alias("r")).first()
     # at most (all regions / HOT) seeds: a thousandth of a percent of the words
     hot = {r["seed"]: -(-r["regions"] // HOT) for r in seeds.filter(F.col("regions") > HOT).collect()}
-    table = seed_table(seeds, total["n"])
+    table = bit_table(seeds, "seed", total["n"])
     shards = max(1, -(-total["r"] // SHARD))
     rows = saved(regions(own, n, seed, table, shards, hot), "regions")
     searched = (rows.filter("shard is not null").groupBy("shard")
