@@ -1,4 +1,5 @@
 import __spark_entry__ as entry
+from salesmart.plans.registry import ORACLES, QUERIES
 
 
 def test_entry_runs_on_smoke_data(spark):
@@ -7,6 +8,7 @@ def test_entry_runs_on_smoke_data(spark):
     assert df.count() > 0
 
 
-def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
-    assert len(entry.queries()) >= 30
+def test_every_sales_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
+    assert len(QUERIES) >= 30
