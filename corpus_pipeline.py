@@ -36,13 +36,19 @@ ORACLE_SQL = None
 
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """``docs`` whose doc_id is not in ``ids`` (rows with a NULL doc_id stay)."""
-    return docs.join(ids.select(F.col("doc_id").alias("_gone")).distinct(), F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = ids.select(F.col("doc_id").alias("gone")).distinct()
+    return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")
+
+
+def _whole(docs: DataFrame) -> F.Column:
+    """All columns as one, so that no name of theirs meets a stage's own."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learned from the labelled rows op3 learns from."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels").filter(crc_mod("doc_id", 4) != 2))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("text"))
+    rows = docs.select(_whole(docs), "text")
     clean = toxicity.score(rows, model).filter((F.col("score") < REJECT_TOXIC) | F.col("text").isNull() | (F.col("text") == ""))
     return clean.select("_row.*")
 
@@ -53,13 +59,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     again = docs.filter("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     if again.limit(1).count():
         first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-        left = left.withColumn("_n", F.row_number().over(first)).filter("_n = 1 or doc_id is null").drop("_n")
+        left = left.select(_whole(left), "doc_id", F.row_number().over(first).alias("_n")) \
+            .filter("_n = 1 or doc_id is null").select("_row.*")
     return left
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = substring.remove_repeats(docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")),
-                                   REPEAT_WORDS)
+    cut = substring.remove_repeats(docs.select("doc_id", "text", _whole(docs)), REPEAT_WORDS)
     new = {"text": F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))}
     new["n_chars"] = F.when(F.col("n_removed") > 0, F.length("kept").cast("long")).otherwise(F.col("_row.n_chars"))
     return cut.select(*[(new[c] if c in new else F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])

@@ -263,19 +263,18 @@ def remove_repeats(docs: DataFrame, n: int = WINDOW, seed: int = SEED) -> DataFr
         F.collect_list("start").alias("_start"), F.collect_list("stop").alias("_stop")) \
         .withColumnsRenamed({"doc_id": "_id", "text_key": "_text_key"})
     new = {"n_words", "n_removed", "kept"}
-    own = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in new])
-    joined = own.withColumn("_key", _key("text")).join(
-        listed, (F.col("doc_id") == F.col("_id")) & (F.col("_key") == F.col("_text_key")), "left") \
-        .drop("_id", "_text_key", "_key")
-    columns = joined.columns
-    at, begin, end = columns.index("text"), columns.index("_start"), columns.index("_stop")
-    schema = T.StructType([*own.schema.fields, T.StructField("n_words", T.LongType()),
+    names = [c for c in docs.columns if c.lower() not in new]
+    joined = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.col("doc_id").cast("long").alias("_of"),
+                         _key("text").alias("_key")).join(
+        listed, (F.col("_of") == F.col("_id")) & (F.col("_key") == F.col("_text_key")), "left") \
+        .select("_row", F.col("_row.text").cast("string").alias("_text"), "_start", "_stop")
+    schema = T.StructType([joined.schema["_row"], T.StructField("n_words", T.LongType()),
                            T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())])
 
     def start():
         def step(batch):
             total, removed, kept = [], [], []
-            for text, a, b in zip(batch.column(at), batch.column(begin), batch.column(end)):
+            for text, a, b in zip(batch.column(1), batch.column(2), batch.column(3)):
                 words = text.as_py().encode().split() if text.is_valid else []
                 gone = 0
                 if a.is_valid and len(words) >= n:
@@ -290,9 +289,8 @@ def remove_repeats(docs: DataFrame, n: int = WINDOW, seed: int = SEED) -> DataFr
                 total.append(len(words))
                 removed.append(gone)
                 kept.append(b" ".join(final))
-            first = [c for i, c in enumerate(batch.columns) if i not in (begin, end)]
             return pa.RecordBatch.from_arrays(
-                [*first, pa.array(total, pa.int64()), pa.array(removed, pa.int64()),
+                [batch.column(0), pa.array(total, pa.int64()), pa.array(removed, pa.int64()),
                  pa.array(kept, pa.binary()).cast(pa.string())], names=schema.fieldNames())
         return step
-    return map_batches(joined, schema, start)
+    return map_batches(joined, schema, start).select("_row.*", "n_words", "n_removed", "kept")

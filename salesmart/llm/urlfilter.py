@@ -88,9 +88,8 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = D
     where no rule fits."""
     new = {"host", "path", "rule", "verdict"}
     host, path = url_parts(url)
-    own = pages.withColumns({"_h": host, "_p": path})
-    own = own.select(*[F.col(f"`{c}`") for c in pages.columns if c.lower() not in new],
-                     F.col("_h").alias("host"), F.col("_p").alias("path"))
+    kept = [c for c in pages.columns if c.lower() not in new]
+    own = pages.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row"), host.alias("host"), path.alias("path"))
     stacks = stacked_rules(rules)
     owners = stacks.select("owner").distinct()
     labels = F.reverse(F.split("host", r"\."))
@@ -106,5 +105,5 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = D
         .filter("_fit is not null") \
         .groupBy("host", "path").agg(F.max(F.struct("_fit.total", "_fit.host_size", "_fit.rule", "_fit.verdict")).alias("_best"))
     return own.join(best, ["host", "path"], "left").select(
-        *[F.col(f"`{c}`") for c in own.columns], F.col("_best.rule").alias("rule"),
+        "_row.*", "host", "path", F.col("_best.rule").alias("rule"),
         F.coalesce("_best.verdict", F.lit(default)).alias("verdict"))
