@@ -20,6 +20,7 @@ from salesmart.functions.columns import fold_extras
 from salesmart.plans.joins import union_all
 from salesmart.schemas import EXTRA_COLUMN, MANDATORY_COLUMNS
 from salesmart.sources.files import empty_sales, read_headers, read_sales_csv
+from salesmart.sources.paths import for_reader, plain
 
 
 class NoAcceptedFiles(RuntimeError):
@@ -61,8 +62,8 @@ def quarantine(spark: SparkSession, gated: DataFrame, error_root: str) -> DataFr
         return bad.limit(0)
     (bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("source_id").parquet(f"{error_root}/manifest"))
-    lines = spark.read.text(paths).select(
-        "value", F.xxhash64(F.col("_metadata.file_path")).alias("source_id"))
+    lines = spark.read.text([for_reader(p) for p in paths]).select(
+        "value", F.xxhash64(plain(F.col("_metadata.file_path"))).alias("source_id"))
     (lines.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("source_id").text(f"{error_root}/rows"))
     return spark.read.parquet(f"{error_root}/manifest")
@@ -98,8 +99,14 @@ def accepted_groups(gated: DataFrame) -> list[SignatureGroup]:
     return [SignatureGroup(h, e, tuple(sorted(p))) for (h, e), p in sorted(groups.items())]
 
 
-def load_accepted(spark: SparkSession, gated: DataFrame, with_source: bool = False) -> DataFrame:
-    """The union of all accepted files in canonical columns.
+#: The raw line of a row with a value that does not fit its column's type.
+BAD = "_bad_row"
+
+
+def load_accepted(spark: SparkSession, gated: DataFrame, with_source: bool = False, with_bad: bool = False) -> DataFrame:
+    """The union of all accepted files in canonical columns. With
+    ``with_bad`` column ``BAD`` holds the raw line of rows with unparsable
+    values (which are NULL in their columns).
 
     Extras are folded with ``concat_ws(',')`` in header order (NULL parts
     skipped, so all-NULL extras give ''); a file without extras gets NULL.
@@ -110,16 +117,29 @@ def load_accepted(spark: SparkSession, gated: DataFrame, with_source: bool = Fal
     seed = empty_sales(spark)
     if with_source:
         seed = seed.withColumn("source_file", F.lit(None).cast("string"))
+    if with_bad:
+        seed = seed.withColumn(BAD, F.lit(None).cast("string"))
     frames = [seed]
     for g in groups:
-        df = read_sales_csv(spark, list(g.paths), list(g.header), with_source=with_source)
+        df = read_sales_csv(spark, [for_reader(p) for p in g.paths], list(g.header), with_source=with_source,
+                            bad=BAD if with_bad else None)
         cols = [F.col(c) for c in MANDATORY_COLUMNS] + [fold_extras(list(g.extras)).alias(EXTRA_COLUMN)]
         if with_source:
             cols.append(F.col("source_file"))
+        if with_bad:
+            cols.append(F.col(BAD))
         frames.append(df.select(*cols))
     return union_all(frames)
 
 
+def write_bad_rows(spark: SparkSession, gated: DataFrame, path: str, run_id: str) -> None:
+    """Rows of accepted files with unparsable values: source file, raw line
+    and what could be read, one folder per run (a rerun replaces it)."""
+    rows = load_accepted(spark, gated, with_source=True, with_bad=True).where(F.col(BAD).isNotNull())
+    (rows.withColumnRenamed(BAD, "line").withColumn("run_id", F.lit(run_id))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path))
+
+
 def ingest(spark: SparkSession, root: str | list[str], error_root: str | None = None,
            with_source: bool = False) -> tuple[DataFrame, DataFrame]:
     """Gate every CSV under ``root``, quarantine the rejects (if ``error_root``),

@@ -49,10 +49,11 @@ def sales_mart_rows(enriched: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------- aggregates over rows
 #
-# The row-form marts are built from mergeable partial state: integer cents per
-# (group keys, descriptive columns). Parts of several runs merge by summing, so
-# an incremental job aggregates only its new rows and finishes the touched
-# months from the parts (``*_from_parts``), never from all raw rows again.
+# The row-form marts sum integer cents per (group keys, descriptive columns)
+# first. The incremental job keeps such sums per group key only (*parts*): the
+# parts of several runs merge by summing, and names are joined from the current
+# dimensions when a month is finished (``*_from_parts``), never from all raw
+# rows again.
 
 CUSTOMER_KEYS, CUSTOMER_DESCRIBED = ["customer_id", "month"], ["full_name", "address", "phone_number"]
 SALES_KEYS, SALES_DESCRIBED = ["store_id", "sales_person_id", "month"], ["full_name"]
@@ -62,9 +63,22 @@ def _parts(r: DataFrame, keys: list[str], described: list[str]) -> DataFrame:
     return r.groupBy(*keys, *described).agg(F.sum(cents("total_cost")).alias("cents"))
 
 
-def merge_parts(parts: DataFrame, keys: list[str], described: list[str]) -> DataFrame:
-    """Sum the parts of several runs per (keys, described)."""
-    return parts.groupBy(*keys, *described).agg(F.sum("cents").alias("cents"))
+def both_parts(rows: DataFrame) -> DataFrame:
+    """Parts of both marts from one pass over enriched rows: ``mart`` (sales or
+    customer), the keys of that mart, ``month`` and ``cents``."""
+    r = rows.select("store_id", "sales_person_id", "customer_id", month_start("sales_date").alias("month"),
+                    cents("total_cost").alias("cents"))
+    marts = F.explode(F.array(F.lit("sales"), F.lit("customer"))).alias("mart")
+    sales = F.col("mart") == "sales"
+    keyed = r.select("*", marts).select(
+        "mart", *[F.when(sales, F.col(c)).alias(c) for c in ("store_id", "sales_person_id")],
+        F.when(~sales, F.col("customer_id")).alias("customer_id"), "month", "cents")
+    return keyed.groupBy("mart", "store_id", "sales_person_id", "customer_id", "month").agg(F.sum("cents").alias("cents"))
+
+
+def merge_parts(parts: DataFrame, keys: list[str]) -> DataFrame:
+    """Sum the parts of several runs per key."""
+    return parts.groupBy(*keys).agg(F.sum("cents").alias("cents"))
 
 
 def _with_whole_totals(parts: DataFrame, keys: list[str]) -> DataFrame:
@@ -146,15 +160,23 @@ def sales_team_mart_from_rows(rows: DataFrame, groups_bounded: bool = False) ->
     return salesperson_incentive(salesperson_rank(salesperson_monthly(rows), groups_bounded))
 
 
-def sales_team_mart_from_parts(parts: DataFrame, groups_bounded: bool = False) -> DataFrame:
-    """A7 from the ``sales_parts`` of one or more runs (merged first)."""
-    monthly = _monthly_finish(merge_parts(parts, SALES_KEYS, SALES_DESCRIBED))
-    return salesperson_incentive(salesperson_rank(monthly, groups_bounded))
+def sales_team_mart_from_parts(parts: DataFrame, sales_team: DataFrame, groups_bounded: bool = False) -> DataFrame:
+    """A7 from merged sales parts and the current sales team; ``groups_bounded``
+    says the team is proven small. One row per (store, person, month)."""
+    team = sales_team.select(F.col("id").alias("sales_person_id"), full_name("first_name", "last_name").alias("full_name"))
+    named = parts.join(hint_if(team, groups_bounded), "sales_person_id", "inner").select(
+        "store_id", "sales_person_id", "full_name", month_of("month").alias("sales_month"),
+        cents_to_money(F.col("cents")).alias("total_sales"))
+    return salesperson_incentive(salesperson_rank(named, groups_bounded))
 
 
-def customer_mart_from_parts(parts: DataFrame) -> DataFrame:
-    """A6 from the ``customer_parts`` of one or more runs (merged first)."""
-    return _customer_finish(merge_parts(parts, CUSTOMER_KEYS, CUSTOMER_DESCRIBED))
+def customer_mart_from_parts(parts: DataFrame, customer: DataFrame, small: bool = False) -> DataFrame:
+    """A6 from merged customer parts and the current customers. One row per
+    (customer, month)."""
+    cust = customer.select("customer_id", full_name("first_name", "last_name").alias("full_name"), "address", "phone_number")
+    return parts.join(hint_if(cust, small), "customer_id", "inner").select(
+        "customer_id", "full_name", "address", "phone_number", month_of("month").alias("sales_date_month"),
+        cents_to_money(F.col("cents")).alias("total_sales"))
 
 
 # --------------------------------------------------------- aggregate-first marts

@@ -1,9 +1,10 @@
 """Join strategy helpers: broadcast only behind a proven size bound.
 
-A side is broadcast when one bounded scan proves it has at most ``max_rows``
-rows *and* at most ``max_bytes`` bytes of row data: ``limit(max_rows + 1)``
-stops reading early, and the same job sums the byte length of every string or
-binary value plus the fixed width of the other columns. Otherwise the join is
+A side is broadcast when one aggregation proves it has at most ``max_rows``
+rows *and* at most ``max_bytes`` bytes of row data: rows are counted and the
+byte length of every string or binary value plus the fixed width of the other
+columns summed. Every task sends one row of partial sums, so checking a big
+side costs a scan of the joined columns and shuffles none of its rows. Otherwise the join is
 left to a shuffle (sort-merge, or AQE's runtime conversion, which measures the
 real shuffle size). Nothing is ever broadcast on a guess.
 """
@@ -52,13 +53,17 @@ def _row_bytes(df: DataFrame) -> Column:
     return reduce(lambda a, b: a + b, parts, F.lit(0))
 
 
+def size_sums(df: DataFrame) -> DataFrame:
+    """One row: number of rows ``n`` and bytes ``b`` of ``df``, by partial sums."""
+    return df.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b"))
+
+
 def size_at_most(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
     """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes of
-    row data (one bounded scan)."""
+    row data (one aggregation)."""
     if max_rows <= 0:
         return False
-    got = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
-                                     F.sum(_row_bytes(df)).alias("b")).first()
+    got = size_sums(df).first()
     return got.n <= max_rows and (got.b or 0) <= max_bytes
 
 
@@ -119,8 +124,9 @@ def semi_join_all(fact: DataFrame, checks, max_rows: int = DEFAULT_BROADCAST_ROW
 
 def require_unique(df: DataFrame, key: str, what: str) -> None:
     """Raise if ``key`` is not unique in ``df`` (duplicate dimension keys would
-    multiply fact rows in the inner joins). One aggregation job."""
-    dup = df.groupBy(key).count().where(F.col("count") > 1).limit(1).collect()
+    multiply fact rows in the inner joins; NULL keys never join). One
+    aggregation job."""
+    dup = df.where(F.col(key).isNotNull()).groupBy(key).count().where(F.col("count") > 1).limit(1).collect()
     if dup:
         raise ValueError(f"{what}: key {key}={dup[0][0]!r} occurs {dup[0][1]} times")
 

@@ -76,27 +76,6 @@ SALES_TEAM = T.StructType(
     ]
 )
 
-LEDGER = T.StructType(
-    [
-        T.StructField("file_name", T.StringType()),
-        T.StructField("file_location", T.StringType()),
-        T.StructField("created_date", T.TimestampType()),
-        T.StructField("updated_date", T.TimestampType()),
-        T.StructField("status", T.StringType()),
-    ]
-)
-
-CUSTOMER_MART = T.StructType(
-    [
-        T.StructField("customer_id", T.LongType()),
-        T.StructField("full_name", T.StringType()),
-        T.StructField("address", T.StringType()),
-        T.StructField("phone_number", T.StringType()),
-        T.StructField("sales_date_month", T.StringType()),
-        T.StructField("total_sales", MONEY),
-    ]
-)
-
 SALES_MART = T.StructType(
     [
         T.StructField("store_id", T.LongType()),

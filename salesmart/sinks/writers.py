@@ -13,6 +13,8 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salesmart.sources.paths import children, comparable
+
 # The partition layout of the sales-team mart.
 SALES_MART_PARTITIONS = ("sales_month", "store_id")
 
@@ -21,18 +23,10 @@ class SelfOverwrite(ValueError):
     """The target path is an input of the frame being written."""
 
 
-def _norm(p: str) -> str:
-    """Comparable form of a path or URI (``file:///x`` == ``file:/x`` == ``/x``)."""
-    p = p.rstrip("/")
-    if p.startswith("file:"):
-        p = "/" + p[len("file:"):].lstrip("/")
-    return p
-
-
 def guard_not_input(df: DataFrame, path: str) -> None:
-    target = _norm(path)
+    target = comparable(path)
     for f in df.inputFiles():
-        f = _norm(unquote(f))
+        f = comparable(unquote(f))
         if f.startswith(target + "/") or f == target:
             raise SelfOverwrite(f"refusing to write {path}: it is read by this frame ({f})")
 
@@ -94,10 +88,12 @@ def publish_version(df: DataFrame, root: str, run_ts: int | None = None) -> int:
 
 
 def read_latest(spark: SparkSession, root: str) -> DataFrame:
-    """The newest published version (partition pruned by ``run_ts``)."""
-    versions = spark.read.parquet(root)
-    latest = versions.select(F.max("run_ts")).first()[0]
-    return versions.where(F.col("run_ts") == F.lit(latest)).drop("run_ts")
+    """The newest published version. It is found by the folder names, so
+    only its own files are listed and opened."""
+    versions = [int(n[len("run_ts="):]) for n in children(spark, root) if n.startswith("run_ts=")]
+    if not versions:
+        raise FileNotFoundError(f"no version under {root}")
+    return spark.read.parquet(f"{root.rstrip('/')}/run_ts={max(versions)}")
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None = None,

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.schemas import SALES, csv_schema
+from salesmart.sources.paths import for_reader, plain
 
 # The accepted file suffix, matched case-insensitively.
 CSV_GLOB = "*.[cC][sS][vV]"
@@ -59,9 +60,6 @@ def header_columns(line) -> "F.Column":
     return F.transform(F.split(line, ","), lambda c: F.regexp_replace(c, r'^"(.*)"$', "$1"))
 
 
-# How much of a file the first-line probe reads at most.
-HEADER_PROBE_BYTES = 1 << 20
-
 # Hadoop URI schemes and the Arrow scheme that opens the same objects.
 ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3"}
 
@@ -75,23 +73,28 @@ def arrow_uri(path: str) -> str:
 
 
 def _first_lines(batches):
-    """mapInPandas helper: first line of each file path (NULL if unreadable)."""
+    """mapInPandas helper: first line of each file path (NULL if unreadable);
+    a file is read up to its first newline or its end."""
     import pandas as pd
     import pyarrow.fs as pafs
 
+    from salesmart.sources.paths import comparable, uri
+
     for pdf in batches:
         out = []
         for path in pdf["file_path"]:
             try:
-                fs, inner = pafs.FileSystem.from_uri(arrow_uri(path))
+                if path.startswith("/") or path[:5].lower() == "file:":
+                    fs, inner = pafs.LocalFileSystem(), comparable(path)
+                else:
+                    fs, inner = pafs.FileSystem.from_uri(uri(arrow_uri(path)))
+                parts = []
                 with fs.open_input_stream(inner) as f:
-                    head = b""
-                    while b"\n" not in head and len(head) < HEADER_PROBE_BYTES:
-                        chunk = f.read(65536)
-                        if not chunk:
+                    while chunk := f.read(65536):
+                        parts.append(chunk)
+                        if b"\n" in chunk:
                             break
-                        head += chunk
-                line = head.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8", errors="replace")
+                line = b"".join(parts).split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8", errors="replace")
                 out.append(line.lstrip("\ufeff"))
             except Exception:  # noqa: BLE001 - scheme unknown to Arrow: Spark scan fallback
                 out.append(None)
@@ -128,11 +131,12 @@ def headers_of(spark: SparkSession, files: DataFrame, glob: str = CSV_GLOB) -> D
 
 
 def _scan_headers(spark: SparkSession, root: str | list[str], glob: str = CSV_GLOB) -> DataFrame:
-    """Header probe by a Spark text scan (reads the files whole)."""
+    """Header probe by a Spark text scan (reads the files whole). A list of
+    roots holds plain paths, a single root is a reader's path."""
     reader = _file_reader(spark, "text", glob)
-    lines = reader.load(root)
+    lines = reader.load([for_reader(p) for p in root] if isinstance(root, list) else root)
     first_split = lines.where(F.col("_metadata.file_block_start") == 0).select(
-        F.col("_metadata.file_path").alias("file_path"),
+        plain(F.col("_metadata.file_path")).alias("file_path"),
         F.monotonically_increasing_id().alias("pos"),
         "value",
     )
@@ -141,21 +145,27 @@ def _scan_headers(spark: SparkSession, root: str | list[str], glob: str = CSV_GL
 
 
 def read_sales_csv(spark: SparkSession, paths: list[str] | str, header: list[str] | None = None,
-                   with_source: bool = False) -> DataFrame:
+                   with_source: bool = False, bad: str | None = None) -> DataFrame:
     """Typed scan of sales CSV files that share one header.
 
     Columns bind by position to ``header`` (default: the canonical order);
     ``enforceSchema=false`` makes Spark check each file's header against it.
-    Unparsable values become NULL (PERMISSIVE).
+    Unparsable values become NULL (PERMISSIVE); with ``bad`` a column of that
+    name holds the raw line of such rows (NULL for the others).
     """
     names = header or [f.name for f in SALES.fields if f.name != "additional_column"]
-    df = (spark.read.schema(csv_schema(names))
+    schema = csv_schema(names)
+    if bad:
+        schema = schema.add(bad, "string")
+    df = (spark.read.schema(schema)
+          .option("columnNameOfCorruptRecord", bad or "_corrupt_record")
+          .option("columnPruning", "false" if bad else "true")
           .option("header", "true")
           .option("enforceSchema", "false")
           .option("mode", "PERMISSIVE")
           .csv(paths))
     if with_source:
-        df = df.withColumn("source_file", F.col("_metadata.file_path"))
+        df = df.withColumn("source_file", plain(F.col("_metadata.file_path")))
     return df
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.schemas import EXTRA_COLUMN, MONEY
+from salesmart.sources.paths import signature
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -21,29 +22,34 @@ TABLES = (
 ).split()
 
 
-_READERS: dict[tuple, DataFrame] = {}
+_READERS: dict[tuple, tuple[tuple, DataFrame]] = {}
 
 
-def _memo(spark: SparkSession, key: tuple, build) -> DataFrame:
-    """One lazy frame per session and key. The driver's tables are read-only,
-    so a frame over them (a plan, no data) can be built and analysed once per
-    session instead of once per query; PySpark analyses every ``join`` and
-    ``select`` eagerly, about 0.2 s for the star frames."""
+def _memo(spark: SparkSession, key: tuple, build, tables: tuple[str, ...]) -> DataFrame:
+    """One lazy frame per session and key, as long as the files of ``tables``
+    stay as they are; PySpark analyses every ``join`` and ``select`` eagerly,
+    about 0.2 s for the star frames. A rewritten table gives a new frame."""
+    state = tuple(signature(spark, t) for t in tables)
     k = (id(spark), *key)
-    df = _READERS.get(k)
-    if df is None or df.sparkSession is not spark:
-        df = _READERS[k] = build()
-    return df
+    old = _READERS.get(k)
+    if old is None or old[1].sparkSession is not spark or old[0] != state:
+        old = _READERS[k] = (state, build())
+    return old[1]
+
+
+def _paths(sf_dir: str, *names: str) -> tuple[str, ...]:
+    return tuple(f"{sf_dir.rstrip('/')}/{n}.parquet" for n in names)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Reader of one driver table (file listing and footer schema built once per session)."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return _memo(spark, ("table", path), lambda: spark.read.parquet(path))
+    return _memo(spark, ("table", path), lambda: spark.read.parquet(path), (path,))
 
 
 def sales_from_star(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    return _memo(spark, ("sales", sf_dir.rstrip("/"), tuple(keep)), lambda: _sales_from_star(spark, sf_dir, keep))
+    return _memo(spark, ("sales", sf_dir.rstrip("/"), tuple(keep)), lambda: _sales_from_star(spark, sf_dir, keep),
+                 _paths(sf_dir, "lineitem", "orders", "part", "supplier"))
 
 
 def _sales_from_star(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -84,7 +90,8 @@ def _sales_from_star(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = (
 
 
 def customer_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _memo(spark, ("customer_dim", sf_dir.rstrip("/")), lambda: _customer_dim(spark, sf_dir))
+    return _memo(spark, ("customer_dim", sf_dir.rstrip("/")), lambda: _customer_dim(spark, sf_dir),
+                 _paths(sf_dir, "customer", "nation"))
 
 
 def _customer_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,7 +109,8 @@ def _customer_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def store_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _memo(spark, ("store_dim", sf_dir.rstrip("/")), lambda: _store_dim(spark, sf_dir))
+    return _memo(spark, ("store_dim", sf_dir.rstrip("/")), lambda: _store_dim(spark, sf_dir),
+                 _paths(sf_dir, "nation", "region"))
 
 
 def _store_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,7 +127,8 @@ def _store_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sales_team_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _memo(spark, ("sales_team_dim", sf_dir.rstrip("/")), lambda: _sales_team_dim(spark, sf_dir))
+    return _memo(spark, ("sales_team_dim", sf_dir.rstrip("/")), lambda: _sales_team_dim(spark, sf_dir),
+                 _paths(sf_dir, "supplier", "nation", "region"))
 
 
 def _sales_team_dim(spark: SparkSession, sf_dir: str) -> DataFrame:

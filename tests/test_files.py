@@ -62,3 +62,18 @@ def test_arrow_uri_aliases_hadoop_s3_schemes():
     assert arrow_uri("S3N://bucket/a.csv") == "s3://bucket/a.csv"
     assert arrow_uri("file:/tmp/a.csv") == "file:/tmp/a.csv"
     assert arrow_uri("gs://b/a.csv") == "gs://b/a.csv"
+
+
+def test_wide_header_is_read_to_its_end(spark, tmpdir_str):
+    root = f"{tmpdir_str}/wide"
+    names = [f"column_number_{i:05d}_" + "x" * 60 for i in range(20_000)]
+    _write(f"{root}/w.csv", ",".join(names) + "\n1\n")
+    for method in ("auto", "scan"):
+        rows = read_headers(spark, root, method=method).collect()
+        assert len(rows) == 1 and list(rows[0].header) == names
+
+
+def test_path_forms():
+    from salesmart.sources.paths import comparable, for_reader
+    assert for_reader("file:/a/s[1] {b}*?.csv") == "file:/a/s\\[1\\] \\{b\\}\\*\\?.csv"
+    assert comparable("file:///a/b/") == comparable("file:/a/b") == comparable("/a/b")

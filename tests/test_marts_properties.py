@@ -57,15 +57,15 @@ def test_parts_of_split_runs_merge_to_the_whole_mart(spark):
     enriched = E.enrich(s, c, st, t)
     runs = [enriched.where(F.abs(F.hash("customer_id", "sales_person_id", "total_cost")) % 3 == k)
             for k in range(3)]
-    sp = runs[0].transform(M.sales_mart_rows).transform(M.sales_parts)
-    cp = runs[0].transform(M.customer_mart_rows).transform(M.customer_parts)
+    parts = M.both_parts(runs[0])
     for r in runs[1:]:
-        sp = sp.unionByName(M.sales_parts(M.sales_mart_rows(r)))
-        cp = cp.unionByName(M.customer_parts(M.customer_mart_rows(r)))
+        parts = parts.unionByName(M.both_parts(r))
+    sp = M.merge_parts(parts.where("mart = 'sales'"), M.SALES_KEYS)
+    cp = M.merge_parts(parts.where("mart = 'customer'"), M.CUSTOMER_KEYS)
     whole_s = M.sales_team_mart_from_rows(M.sales_mart_rows(enriched), groups_bounded=True)
-    assert _rows(M.sales_team_mart_from_parts(sp, groups_bounded=True)) == _rows(whole_s)
-    assert _rows(M.sales_team_mart_from_parts(sp, groups_bounded=False)) == _rows(whole_s)
-    assert _rows(M.customer_mart_from_parts(cp)) == _rows(M.customer_monthly_window(M.customer_mart_rows(enriched)))
+    assert _rows(M.sales_team_mart_from_parts(sp, t, groups_bounded=True)) == _rows(whole_s)
+    assert _rows(M.sales_team_mart_from_parts(sp, t, groups_bounded=False)) == _rows(whole_s)
+    assert _rows(M.customer_mart_from_parts(cp, c)) == _rows(M.customer_monthly_window(M.customer_mart_rows(enriched)))
 
 
 def test_row_form_window_runs_over_aggregated_rows(spark):

@@ -120,3 +120,12 @@ def test_broadcast_proof_bounds_rows_and_bytes(spark):
     assert not size_at_most(df, 100, 50_000)         # rows fit, bytes do not
     assert small_enough([df, df.limit(10)], 50) == [False, True]
     assert small_enough([df], 0) == [False]
+
+
+def test_size_check_shuffles_partial_sums_only(spark):
+    from salesmart.plans.joins import size_sums
+    df = spark.range(0, 1000, 1, 8).selectExpr("id", "cast(id as string) as name")
+    plan = size_sums(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Limit" not in plan
+    below = plan[plan.index("Exchange"):]
+    assert "partial_count" in below.splitlines()[1]
