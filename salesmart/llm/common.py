@@ -30,20 +30,21 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of the batches that a step works on at once (one row at least).
+SLICE_BYTES = 4 << 20
+
+
 def map_batches(df: DataFrame, schema: T.StructType | str,
-                start: Callable[[], Callable[[pa.RecordBatch], pa.Table | pa.RecordBatch | None]]) -> DataFrame:
+                start: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], limit: int = SLICE_BYTES) -> DataFrame:
     """``mapInArrow`` with per-task state: ``start()`` runs once per task and
-    returns the function for each batch."""
+    returns the function for each batch; larger batches are sliced by rows to
+    about ``limit`` bytes, which bounds the work arrays of a task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = start()
         for batch in batches:
-            out = step(batch)
-            if out is None:
-                continue
-            if isinstance(out, pa.Table):
-                yield from out.to_batches()
-            else:
-                yield out
+            rows = max(1, -(-batch.num_rows // max(1, -(-batch.nbytes // limit))))
+            for i in range(0, batch.num_rows, rows):
+                yield step(batch.slice(i, rows))
     return df.mapInArrow(run, schema)
 
 

@@ -185,7 +185,8 @@ def regions(docs: DataFrame, n: int, seed: int, table: np.ndarray, shards: int,
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
                 out, (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=REGION.fieldNames())
         return step
-    return map_batches(docs.select("text", "text_key", "doc_id"), REGION, start)
+    # larger batches than elsewhere: more copies meet in one batch
+    return map_batches(docs.select("text", "text_key", "doc_id"), REGION, start, 16 << 20)
 
 
 def search_shard(rows: pa.Table, n: int) -> pa.Table:

@@ -13,7 +13,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-BLOCK = 1 << 21
+BLOCK = 1 << 19
 _U = np.uint64
 _M1, _M2 = _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
 _P = _U(0x9E3779B97F4A7C15)
