@@ -42,7 +42,7 @@ from salesmart.llm.components import components
 from salesmart.llm.wordhash import Hasher, buffers, lower_ascii, mix, split_words, windows
 
 SHINGLE, SIDE, ROWS = 5, 10, 2
-BLOCK = 256
+BLOCK = 1024
 #: Candidate ids up to this number are broadcast (8 bytes each); more are joined by shuffle.
 BROADCAST_IDS = 1_000_000
 
