@@ -15,6 +15,7 @@ labels of one class only the score is a constant.
 
 from __future__ import annotations
 
+import array
 import re
 from collections import Counter
 
@@ -99,24 +100,32 @@ def counterfactuals(sentences: list[str], terms: tuple[str, ...] = IDENTITY_TERM
 def fit(texts: list[str], y: np.ndarray, terms: tuple[str, ...] = IDENTITY_TERMS, max_words: int = MAX_WORDS,
         penalty: float = 1.0, l1: float = 2e-3, steps: int = 400, rate: float = 0.05) -> ToxicModel:
     """Proximal Adam on logistic loss + ``penalty`` x counterfactual changes."""
-    sets = [features(set(_WORD.findall(t.lower()))) for t in texts]
     if not len(y) or len(set(y.tolist())) < 2:
         p = (float(y.mean()) if len(y) else 0.0)
         return ToxicModel({}, float(np.log((p + 0.01) / (1.01 - p))))
-    pos, neg = Counter(), Counter()
-    for s, label in zip(sets, y):
-        (pos if label else neg).update(s)
     n1, n0 = int(y.sum()), int(len(y) - y.sum())
-
-    def gap(w: str) -> float:
-        return abs(pos[w] / n1 - neg[w] / n0)
-    least = 3 if len(y) >= 300 else 2
-    words = sorted((w for w in pos.keys() | neg.keys() if pos[w] + neg[w] >= least), key=lambda w: (-gap(w), w))[:max_words]
+    # first pass: in how many texts of either label each feature is; one text's
+    # features are held at a time
+    index: dict[str, int] = {}
+    uses = (array.array("i"), array.array("i"))
+    for t, label in zip(texts, y):
+        for f in features(set(_WORD.findall(t.lower()))):
+            i = index.setdefault(f, len(index))
+            if i == len(uses[0]):
+                uses[0].append(0)
+                uses[1].append(0)
+            uses[int(label)][i] += 1
+    neg, pos = np.array(uses[0]), np.array(uses[1])
+    gap = np.abs(pos / n1 - neg / n0)
+    often = pos + neg >= (3 if len(y) >= 300 else 2)
+    words = sorted((f for f, i in index.items() if often[i]), key=lambda f: (-gap[index[f]], f))[:max_words]
+    del index, uses
     words = words + [t for t in terms if t not in set(words)]
     at = {w: i for i, w in enumerate(words)}
-    x = np.zeros((len(sets), len(words)), np.float32)
-    for i, s in enumerate(sets):
-        x[i, [at[w] for w in s if w in at]] = 1
+    base = {w.rstrip("+") for w in words}
+    x = np.zeros((len(texts), len(words)), np.float32)
+    for i, t in enumerate(texts):
+        x[i, [at[f] for f in features(set(_WORD.findall(t.lower())), base) if f in at]] = 1
     swaps = counterfactuals([s for t in texts for s in _SENTENCE.split(t)], terms)
     a = np.array([at[t] for t, _ in swaps], dtype=np.int64)
     b = np.array([at.get(o, -1) for _, o in swaps], dtype=np.int64)
