@@ -26,6 +26,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from salesmart.llm.common import saved
+
 SAMPLES, LANES = 32, 4
 NO_ID = -(1 << 63)
 BLANK = r"[\x20\x09-\x0D]+"
@@ -141,8 +143,11 @@ def compare_with_edits(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     keys = ["id", "text_key"]
     prints = fingerprints(rows, keys, ["text", "edited"], samples)
     meta = rows.select(*keys, "next_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
-    out = meta.join(prints, keys, "left").withColumns({"fingerprint": F.coalesce("f0", F.lit("")),
-                                                       "edited_fingerprint": F.coalesce("f1", F.lit(""))})
+    # written once: the sampling is the costly step, and the next document's
+    # fingerprint is looked up in the same rows
+    out = saved(meta.join(prints, keys, "left").select(
+        "id", "next_id", "n_chars", "edited_sha256", F.coalesce("f0", F.lit("")).alias("fingerprint"),
+        F.coalesce("f1", F.lit("")).alias("edited_fingerprint")), "fingerprints")
     following = out.groupBy("id").agg(F.min("fingerprint").alias("_next")).withColumnRenamed("id", "next_id")
     return out.join(following, "next_id", "left").select(
         F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
