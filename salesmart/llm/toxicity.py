@@ -4,8 +4,8 @@ A logistic model over the distinct words of a text and their beginnings (one
 or at least two distinct words with it). For every labelled
 sentence that names an identity group, counterfactual sentences are made by
 swapping the term for each other term and for a neutral word; the squared
-change of the log odds is penalised, so a group's name alone cannot make a
-text toxic. An L1 step removes words without evidence, so long texts do not
+change of the log odds, over all features the swap adds or takes away, is
+penalised, so a group's name alone cannot make a text toxic. An L1 step removes words without evidence, so long texts do not
 gather noise.
 
 Empty and NULL texts have no word and get the intercept's probability.
@@ -18,6 +18,7 @@ from __future__ import annotations
 import array
 import re
 from collections import Counter
+from collections.abc import Callable, Hashable
 
 import numpy as np
 import pyarrow as pa
@@ -81,22 +82,66 @@ class ToxicModel:
         return 1 / (1 + np.exp(-np.clip(np.array(z, dtype=np.float64), -30, 30)))
 
 
-def counterfactuals(sentences: list[str], terms: tuple[str, ...] = IDENTITY_TERMS) -> Counter:
+def counterfactuals(sentences: list[str], terms: tuple[str, ...] = IDENTITY_TERMS,
+                    key: Callable[[set[str], str, str], Hashable] = lambda words, t, other: (t, other)) -> Counter:
     """(term, swapped-in term or "") -> number of labelled sentences in which
-    the swap is made ("": a neutral word). A swap changes the score by the
-    difference of the two terms' weights, if the sentence lacks the other."""
+    the swap is made ("": a neutral word). ``key`` tells which swaps are
+    counted as one."""
     found: Counter = Counter()
     known = set(terms)
     for s in sentences:
         words = set(_WORD.findall(s.lower()))
         for t in words & known:
-            found[t, ""] += 1
+            found[key(words, t, "")] += 1
             for other in terms:
                 if other != t and other not in words:
-                    found[t, other] += 1
+                    found[key(words, t, other)] += 1
     return found
 
 
+class Swap:
+    """Key of ``counterfactuals``: (term, swapped-in term, features lost,
+    features gained), features being the numbers of ``at``. They depend on how
+    many words of the sentence share a beginning with either term, so a term
+    that shares none gives the same key in every sentence."""
+
+    def __init__(self, at: dict[str, int], terms: tuple[str, ...]) -> None:
+        self.at = at
+        self.own = {t: frozenset(word_features(t)) for t in terms} | {"": frozenset()}
+        self.of_terms = frozenset().union(*self.own.values())
+        self.near: dict[str, tuple[str, ...]] = {}        # word -> its features that terms have too
+        self.words: set[str] | None = None
+        self.count: Counter = Counter()                   # of these features in the sentence at hand
+        self.state: tuple = ()
+        self.keys: dict[tuple, tuple] = {}
+
+    def __call__(self, words: set[str], t: str, other: str) -> tuple:
+        if words is not self.words:
+            self.words, self.count = words, Counter()
+            for w in words:
+                near = self.near.get(w)
+                if near is None:
+                    near = self.near[w] = tuple(f for f in word_features(w) if f in self.of_terms)
+                    if len(self.near) > MEMO:
+                        self.near.clear()
+                self.count.update(near)
+            self.state = tuple(sorted((f, min(n, 3)) for f, n in self.count.items()))
+        key = self.keys.get((self.state, t, other))
+        if key is None:
+            if len(self.keys) > MEMO:
+                self.keys.clear()
+            gone, new = self.own[t], self.own[other]
+            lost, gained = [], []
+            for f in sorted(gone ^ new):
+                before = self.count[f]
+                after = before + (f in new) - (f in gone)
+                for name, least in ((f, 1), (f + "+", 2)):
+                    if name in self.at and (before >= least) != (after >= least):
+                        (lost if before >= least else gained).append(self.at[name])
+            key = self.keys[self.state, t, other] = (t, other, tuple(lost), tuple(gained))
+        return key
+
+
 def fit(texts: list[str], y: np.ndarray, terms: tuple[str, ...] = IDENTITY_TERMS, max_words: int = MAX_WORDS,
         penalty: float = 1.0, l1: float = 2e-3, steps: int = 400, rate: float = 0.05) -> ToxicModel:
     """Proximal Adam on logistic loss + ``penalty`` x counterfactual changes."""
@@ -126,11 +171,15 @@ def fit(texts: list[str], y: np.ndarray, terms: tuple[str, ...] = IDENTITY_TERMS
     x = np.zeros((len(texts), len(words)), np.float32)
     for i, t in enumerate(texts):
         x[i, [at[f] for f in features(set(_WORD.findall(t.lower())), base) if f in at]] = 1
-    swaps = counterfactuals([s for t in texts for s in _SENTENCE.split(t)], terms)
-    a = np.array([at[t] for t, _ in swaps], dtype=np.int64)
-    b = np.array([at.get(o, -1) for _, o in swaps], dtype=np.int64)
-    many = np.array(list(swaps.values()), dtype=np.float64)
-    many = many / max(1.0, many.max(initial=0.0))
+    swaps = counterfactuals([s for t in texts for s in _SENTENCE.split(t)], terms, Swap(at, terms))
+    # entry k: the swap row[k] adds sign[k] times the weight col[k] to the change
+    entries = [(i, c, sign) for i, (_, _, lost, gained) in enumerate(swaps) for cs, sign in ((lost, 1.0), (gained, -1.0)) for c in cs]
+    row, col = (np.array([e[k] for e in entries], dtype=np.int64) for k in (0, 1))
+    sign = np.array([e[2] for e in entries])
+    pairs: Counter = Counter()
+    for (t, other, _, _), n in swaps.items():
+        pairs[t, other] += n
+    many = np.array(list(swaps.values()), dtype=np.float64) / max(pairs.values(), default=1)
     w, bias = np.zeros(len(words)), float(np.log(n1 / n0))
     m, s2 = np.zeros(len(words) + 1), np.zeros(len(words) + 1)
     weight = np.where(y == 1, len(y) / (2 * n1), len(y) / (2 * n0))
@@ -138,10 +187,9 @@ def fit(texts: list[str], y: np.ndarray, terms: tuple[str, ...] = IDENTITY_TERMS
         p = 1 / (1 + np.exp(-np.clip(x @ w.astype(np.float32) + bias, -30, 30)))
         e = (p - y) * weight / len(y)
         g = np.append(x.T @ e.astype(np.float32), e.sum())
-        if len(a):
-            change = w[a] - np.where(b >= 0, w[b], 0.0)
-            np.add.at(g, a, 2 * penalty * many * change)
-            np.add.at(g, b[b >= 0], -2 * penalty * (many * change)[b >= 0])
+        if len(row):
+            change = np.bincount(row, sign * w[col], len(many))
+            g[:-1] += np.bincount(col, 2 * penalty * sign * (many * change)[row], len(words))
         m, s2 = 0.9 * m + 0.1 * g, 0.999 * s2 + 0.001 * g * g
         move = rate / (np.sqrt(s2 / (1 - 0.999 ** t)) + 1e-4)
         w = w - move[:-1] * m[:-1] / (1 - 0.9 ** t)

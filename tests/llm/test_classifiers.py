@@ -102,3 +102,37 @@ def test_identity_terms_stay_neutral():
 def test_counterfactuals_swap_each_term():
     got = toxicity.counterfactuals(["Women and men", "no term"], ("women", "men", "gay"))
     assert got["women", ""] == 1 and got["women", "gay"] == 1 and ("women", "men") not in got
+
+
+def swapped_texts(term):
+    """Texts in which the group's name tells the label better than any other word."""
+    rng = np.random.default_rng(3)
+    texts, y = [], []
+    for i in range(600):
+        toxic = i % 2
+        words = [f"w{chr(97 + rng.integers(26))}x" for _ in range(10)] + ["vermin"] * (toxic and rng.random() < 0.5)
+        words += [term if rng.random() < (0.95 if toxic else 0.05) else "men"]
+        texts.append(" ".join(words))
+        y.append(toxic)
+    return texts, np.array(y)
+
+
+@pytest.mark.parametrize("term", ["muslims", "immigrants", "gay"])
+def test_swaps_hardly_move_the_score(term):
+    model = toxicity.fit(*swapped_texts(term))
+    odds = [float(np.log(p / (1 - p))) for p in model.score([f"the {t} came to tea" for t in (term, "men", "women", "people")])]
+    assert max(odds) - min(odds) < 0.3
+    assert model.score(["what vermin"])[0] > model.score(["what tea"])[0] + 0.1
+
+
+def test_swap_lists_every_feature_that_changes():
+    at = {f: i for i, f in enumerate(["muslims", "<musl", "<musl+", "<muslim", "men", "tea", "women", "<wome"])}
+    names = list(at)
+    for sentence in ("muslims drink tea", "muslims and a muslim", "muslims muslin muslim tea"):
+        words = set(sentence.split())
+        for other in ("", "men", "women"):
+            before = toxicity.features(words)
+            after = toxicity.features(words - {"muslims"} | ({other} if other else set()))
+            _, _, lost, gained = toxicity.Swap(at, toxicity.IDENTITY_TERMS)(words, "muslims", other)
+            assert {names[i] for i in lost} == (before - after) & set(at)
+            assert {names[i] for i in gained} == (after - before) & set(at)
