@@ -8,10 +8,11 @@ and the document's windows are hash-joined with the items'. An item shorter
 than the window is one window of its own length.
 
 Windows of one document and item that lie on one diagonal (document position
-minus item position) are one alignment. Its slots are consistent if equal
-item values meet equal document values and different ones different values;
-an alignment with inconsistent slots is chance and dropped. What remains is a
-leak if it covers at least ``MIN_WORDS`` words, or ``SHARE`` of a shorter
+minus item position) are one alignment. Equal item values (numbers and names;
+units are not compared) should meet equal document values; slots that differ
+from their item value's most frequent document value are torn and do not
+count as matched. An alignment with more torn slots than one and than
+``TORN`` of its slots is chance and dropped. What remains is a leak if it covers at least ``MIN_WORDS`` words, or ``SHARE`` of a shorter
 item: ``verbatim`` if all slot values are equal, else ``re-parameterised``.
 
 A bit table of the items' windows, of bounded size, keeps other windows from
@@ -36,7 +37,7 @@ from salesmart.llm.bittable import bit_table, in_table
 from salesmart.llm.common import map_batches, saved
 from salesmart.llm.wordhash import Hasher, buffers, mix, split_words, windows
 
-WINDOW, LEAST, MIN_WORDS, SHARE = 8, 4, 12, 0.8
+WINDOW, LEAST, MIN_WORDS, SHARE, TORN = 8, 4, 12, 0.8, 0.25
 BROADCAST_WINDOWS = 200_000
 #: Units that become placeholders after a number.
 UNITS = ("kg", "g", "mg", "lb", "lbs", "oz", "km", "m", "cm", "mm", "mi", "mile", "miles", "ft", "feet", "foot", "inch",
@@ -115,7 +116,8 @@ class Templates:
             unit[first[:-1][first[:-1] < len(a)]] = False
             unit &= self.units[np.minimum(np.searchsorted(self.units, value), len(self.units) - 1)] == value
         symbol = np.where(number, NUMBER, np.where(name, NAME, np.where(unit, UNIT, value)))
-        slot = np.where(number | name | unit, value | np.uint64(1), np.uint64(0))
+        # odd: compared for consistency; even: a unit
+        slot = np.where(number | name, value | np.uint64(1), np.where(unit, (value | np.uint64(3)) - np.uint64(1), np.uint64(0)))
         return symbol, slot, first
 
 
@@ -182,15 +184,16 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     size = words.groupBy(*one).agg(F.count(F.lit(1)).alias("matched_words"), F.max("item_words").alias("item_words"),
                                    F.min("at").alias("_at"), F.sum((F.col("theirs") != 0).cast("int")).alias("n_slots"),
                                    F.sum((F.col("theirs") != F.col("ours")).cast("int")).alias("changed_slots"))
-    # one value on either side must meet one value on the other
-    slots = words.filter("theirs <> 0").select(*one, F.explode(F.array(
-        F.struct(F.lit(0).alias("side"), F.col("theirs").alias("key"), F.col("ours").alias("value")),
-        F.struct(F.lit(1).alias("side"), F.col("ours").alias("key"), F.col("theirs").alias("value")))).alias("s"))
-    torn = slots.groupBy(*one, "s.side", "s.key").agg(F.min("s.value").alias("a"), F.max("s.value").alias("b")).filter("a <> b") \
-        .select(*one).distinct().withColumn("_torn", F.lit(True))
-    same = [size[c].eqNullSafe(torn[c]) for c in one]
-    good = size.join(torn, same, "left_anti").filter(
-        F.col("matched_words") >= F.least(F.lit(MIN_WORDS), F.ceil(F.col("item_words") * SHARE)))
+    # an item value's slots that do not meet its most frequent document value
+    slots = words.filter("theirs <> 0 and theirs & 1 = 1").groupBy(*one, "theirs", "ours").agg(F.count(F.lit(1)).alias("n")) \
+        .groupBy(*one, "theirs").agg(F.sum("n").alias("n"), (F.sum("n") - F.max("n")).alias("torn")) \
+        .groupBy(*one).agg(F.sum("n").alias("_slots"), F.sum("torn").alias("_torn")) \
+        .select(*[F.col(c).alias(f"_{c}") for c in one], "_slots", "_torn")
+    same = [size[c].eqNullSafe(slots[f"_{c}"]) for c in one]
+    good = size.join(slots, same, "left") \
+        .withColumn("matched_words", F.col("matched_words") - F.coalesce("_torn", F.lit(0))) \
+        .filter(F.coalesce(F.col("_torn") <= F.greatest(F.lit(1), F.col("_slots") * TORN), F.lit(True))
+                & (F.col("matched_words") >= F.least(F.lit(MIN_WORDS), F.ceil(F.col("item_words") * SHARE))))
     best = good.groupBy("doc_id", "item_id").agg(F.max(F.struct(
         "matched_words", (-F.col("changed_slots")).alias("_less"), (-(F.col("_at") + F.col("diagonal"))).alias("_early"),
         "item_words", "n_slots", "changed_slots")).alias("b"))

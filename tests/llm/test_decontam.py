@@ -67,3 +67,14 @@ def test_empty_tables(spark, make_docs, edge_rows):
     assert decontam.leaks(docs, none).count() == 0
     assert decontam.leaks(docs.limit(0), some).count() == 0
     assert decontam.leaks(docs, some).count() == 0
+
+
+def test_single_torn_slots_do_not_hide_a_leak(spark, make_docs):
+    rng = random.Random(6)
+    fewer = ITEM.replace("12", "4").replace("30", "4")                       # two item values get one new value
+    trip = "the hikers walked for 3 days through the hills and then rested for 4 days beside the quiet lake before home"
+    rows = [(1, around(rng, ITEM.replace("12 kg of apples", "48 kg of apples"))), (2, around(rng, fewer)),
+            (3, around(rng, trip.replace("3 days", "1 day")))]
+    got = run(spark, make_docs, rows, [(7, ITEM), (8, trip)])
+    assert set(got) == {(1, 7), (2, 7), (3, 8)}
+    assert {r["kind"] for r in got.values()} == {"re-parameterised"}
