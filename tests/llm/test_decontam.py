@@ -78,3 +78,14 @@ def test_single_torn_slots_do_not_hide_a_leak(spark, make_docs):
     got = run(spark, make_docs, rows, [(7, ITEM), (8, trip)])
     assert set(got) == {(1, 7), (2, 7), (3, 8)}
     assert {r["kind"] for r in got.values()} == {"re-parameterised"}
+
+
+PLAIN = ("the teacher asked Ann to count every red marble in the wooden box before lunch and then write down the total again")
+
+
+def test_shifted_pieces_add_up(spark, make_docs):
+    rng = random.Random(7)
+    extra = PLAIN.replace("in the wooden", "in the old wooden")
+    rows = [(1, around(rng, extra)), (2, around(rng, PLAIN.replace("Ann", "Mary Jane"))), (3, around(rng, " ".join(PLAIN.split()[:9])))]
+    got = run(spark, make_docs, rows, [(1, PLAIN)])
+    assert set(got) == {(1, 1), (2, 1)}
