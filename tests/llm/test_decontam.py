@@ -89,3 +89,12 @@ def test_shifted_pieces_add_up(spark, make_docs):
     rows = [(1, around(rng, extra)), (2, around(rng, PLAIN.replace("Ann", "Mary Jane"))), (3, around(rng, " ".join(PLAIN.split()[:9])))]
     got = run(spark, make_docs, rows, [(1, PLAIN)])
     assert set(got) == {(1, 1), (2, 1)}
+
+
+def test_exact_words_of_numbers_short_items_and_unspaced_scripts(spark, make_docs):
+    rng = random.Random(8)
+    items = [(1, "Compute 12 + 7 * 3 - 4 / 2 + 18 * 5 - 61"), (2, "Paris London Rome Berlin Madrid Vienna Oslo Athens Dublin Lisbon"),
+             (3, "blue whales sing"), (4, "\u4e2d\u56fd\u7684\u9996\u90fd\u662f\u54ea\u5ea7\u57ce\u5e02")]
+    rows = [(i, around(rng, t)) for i, t in items] + [(9, around(rng, "Compute 12 + 8 * 3 - 5 / 2 + 19 * 5 - 62"))]
+    rows[3] = (4, "w1 w2 \u8bf7\u95ee" + items[3][1] + "\u5417 w3")
+    assert set(run(spark, make_docs, rows, items)) == {(i, i) for i in range(1, 5)}
