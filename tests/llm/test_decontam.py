@@ -98,3 +98,15 @@ def test_exact_words_of_numbers_short_items_and_unspaced_scripts(spark, make_doc
     rows = [(i, around(rng, t)) for i, t in items] + [(9, around(rng, "Compute 12 + 8 * 3 - 5 / 2 + 19 * 5 - 62"))]
     rows[3] = (4, "w1 w2 \u8bf7\u95ee" + items[3][1] + "\u5417 w3")
     assert set(run(spark, make_docs, rows, items)) == {(i, i) for i in range(1, 5)}
+
+
+def test_letter_case_does_not_hide_a_leak(spark, make_docs):
+    rng = random.Random(9)
+    short = "What is the capital of France"
+    greek = "yesterday \u0391\u03bd\u03bd\u03b1 carried the old lamp to \u039d\u03af\u03ba\u03bf\u03c2 because the room was dark and the night was long"
+    rows = [(1, around(rng, ITEM.lower())), (2, around(rng, ITEM.upper())), (3, "he asked " + short + " w5 w6"), (4, around(rng, short.lower())),
+            (5, around(rng, greek.replace("\u0391\u03bd\u03bd\u03b1", "\u0395\u03bb\u03ad\u03bd\u03b7").replace("\u039d\u03af\u03ba\u03bf\u03c2", "\u03a0\u03ad\u03c4\u03c1\u03bf\u03c2"))),
+            (6, around(rng, greek.upper()))]
+    got = run(spark, make_docs, rows, [(7, ITEM), (8, short), (9, greek)])
+    assert set(got) == {(1, 7), (2, 7), (3, 8), (4, 8), (5, 9), (6, 9)}
+    assert got[5, 9]["kind"] == "re-parameterised"
