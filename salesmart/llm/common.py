@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,17 +67,30 @@ def add_columns(df: DataFrame, text: str, new: list[T.StructField],
     return map_batches(kept, schema, begin)
 
 
-def sample_ids(rows: DataFrame, group: str, per_group: int) -> DataFrame:
-    """At most ``per_group`` rows (doc_id, group) per value of ``group`` (a
-    column with few values), those with the smallest id hash. Bounded, so it
-    may be broadcast. Partial top-k per value: one aggregate, no sort of a
-    whole group."""
-    values = [r[0] for r in rows.select(group).distinct().orderBy(group).limit(1000).collect()]
-    parts = [rows.filter(F.col(group) == F.lit(v)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_group)
-             for v in values if v is not None]
+#: Values of a group column up to which each is sampled by its own top-k.
+FEW_VALUES = 1000
+
+
+def sampled(rows: DataFrame, group: str, per_group: int) -> tuple[DataFrame, int]:
+    """``sample_ids`` and a bound of its rows."""
+    values = [r[0] for r in rows.select(group).distinct().orderBy(group).limit(FEW_VALUES + 2).collect()]
+    values = [v for v in values if v is not None]
+    if len(values) > FEW_VALUES:
+        order = Window.partitionBy(group).orderBy(F.xxhash64("doc_id"), "doc_id")
+        n = rows.select(group).distinct().count()
+        return rows.filter(F.col(group).isNotNull()).withColumn("_n", F.row_number().over(order)) \
+            .filter(F.col("_n") <= per_group).drop("_n"), n * per_group
+    parts = [rows.filter(F.col(group) == F.lit(v)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_group) for v in values]
     if not parts:
-        return rows.limit(0)
+        return rows.limit(0), 0
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return out, FEW_VALUES * per_group
+
+
+def sample_ids(rows: DataFrame, group: str, per_group: int) -> DataFrame:
+    """At most ``per_group`` rows (doc_id, group) per value of ``group``,
+    those with the smallest id hash. No value is left out: up to
+    ``FEW_VALUES`` each has a partial top-k, more are ranked in one window."""
+    return sampled(rows, group, per_group)[0]

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesmart.llm.bytecnn import ByteCnn, cut_windows, gather, window_logits
-from salesmart.llm.common import add_columns, sample_ids
+from salesmart.llm.common import add_columns, sampled
 from salesmart.llm.wordhash import buffers
 
 WINDOW = 128
@@ -59,9 +59,9 @@ def train(docs: DataFrame, per_lang: int = PER_LANG, epochs: int = 5) -> Languag
     with the smallest id hash) of at most ``MAX_CHARS`` characters."""
     rows_in = docs.select("doc_id", "lang", "text").filter(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (F.length("text") <= MAX_CHARS))
-    picked = sample_ids(rows_in.select("doc_id", "lang"), "lang", per_lang)
+    picked, most = sampled(rows_in.select("doc_id", "lang"), "lang", per_lang)
     rows = rows_in.join(F.broadcast(picked.distinct()), ["doc_id", "lang"]).orderBy("doc_id", "lang", "text") \
-        .limit(1000 * per_lang).collect()
+        .limit(most).collect()
     langs = sorted({r["lang"] for r in rows})
     if not langs:
         return LanguageModel(None, [])

@@ -5,6 +5,7 @@ import pytest
 
 from salesmart.llm import langid, quality, queries, toxicity
 from salesmart.llm.bytecnn import ByteCnn, cut_windows, gather
+from salesmart.llm.common import sample_ids
 
 SF = "/root/testdata/sf0.01"
 
@@ -136,3 +137,9 @@ def test_swap_lists_every_feature_that_changes():
             _, _, lost, gained = toxicity.Swap(at, toxicity.IDENTITY_TERMS)(words, "muslims", other)
             assert {names[i] for i in lost} == (before - after) & set(at)
             assert {names[i] for i in gained} == (after - before) & set(at)
+
+
+def test_no_language_is_left_out(spark):
+    rows = spark.range(4800).selectExpr("id as doc_id", "if(id < 3, null, concat('l', lpad(id % 1200, 4, '0'))) as lang")
+    got = sample_ids(rows, "lang", 2).toPandas()
+    assert got.lang.nunique() == 1200 and (got.groupby("lang").size() == 2).all()
