@@ -8,8 +8,8 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import (decontam, fingerprint, langid, neardup, packing, quality, substring, toxicity, urlfilter,
-                           wordpiece)
+from salesmart.llm import (decontam, fingerprint, langid, neardup, packing, quality, resampling, substring, toxicity,
+                           urlfilter, wordpiece)
 from salesmart.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,4 +134,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_pieces")
 
 
+@register("op12_target_resampling")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents towards the benchmark texts and the ranks of the drawn ones."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return resampling.resample(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"]).select(
+        "doc_id", "n_features", "weight", "score", "rank")
+
+
 register("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
