@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.llm import (decontam, fingerprint, langid, neardup, packing, quality, resampling, substring, toxicity,
-                           urlfilter, wordpiece)
+                           urlfilter, variants, wordpiece)
 from salesmart.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -142,4 +142,10 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_features", "weight", "score", "rank")
 
 
+@register("op13_spelling_variants")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with their frequent near words; a share of occurrences loses a letter."""
+    return variants.variant_groups(table(spark, sf_dir, "documents").select("doc_id", "text"), typo_every=199)
+
+
 register("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
