@@ -8,8 +8,8 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import (decontam, fingerprint, langid, neardup, packing, quality, resampling, substring, toxicity,
-                           urlfilter, variants, wordpiece)
+from salesmart.llm import (backoff, decontam, fingerprint, langid, neardup, packing, quality, resampling, substring,
+                           toxicity, urlfilter, variants, wordpiece)
 from salesmart.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,6 +134,14 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_pieces")
 
 
+@register("op11_backoff_lm")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model score of every document; learned from rows outside crc32 mod 7 = 2."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return backoff.score(docs, F.coalesce(crc_mod("doc_id", 7) != 2, F.lit(False)), keep=["doc_id"]).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @register("op12_target_resampling")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all documents towards the benchmark texts and the ranks of the drawn ones."""
