@@ -4,7 +4,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from inputs import SF_SMALL
 from salesmart.operators import enrich as E
 from salesmart.operators import marts as M
 from salesmart.sources.star import star_inputs

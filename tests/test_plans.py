@@ -1,7 +1,7 @@
 """Plan-shape checks: no Window in the customer mart, pruned scans, broadcast
 semi joins when bounded, partition pruning on the partitioned mart."""
 
-from conftest import SF_SMALL
+from inputs import SF_SMALL
 from salesmart.operators import enrich as E
 from salesmart.operators import marts as M
 from salesmart.sinks import writers as W
