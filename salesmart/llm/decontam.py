@@ -292,6 +292,8 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
         F.max("item_words").alias("item_words"), F.max("w.theirs").alias("theirs"), F.max("w.span").alias("span"),
         F.min("word").alias("word"), F.max(F.struct(F.col("w.theirs") == F.col("w.ours"), F.col("w.ours").alias("ours"))).alias("_best")) \
         .withColumn("ours", F.col("_best.ours"))
+    # written once: both counts below read it, and the texts are scanned for it
+    words = saved(words.drop("_best"), "aligned")
     size = words.groupBy(*one).agg(F.sum("span").alias("matched_words"), F.max("item_words").alias("item_words"),
                                    F.min("word").alias("_at"), F.sum((F.col("theirs") != 0).cast("int")).alias("n_slots"),
                                    F.sum((F.col("theirs") != F.col("ours")).cast("int")).alias("changed_slots"))
