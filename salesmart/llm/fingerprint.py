@@ -9,7 +9,7 @@ the same for two texts with probability equal to their generalised Jaccard
 similarity sum(min w) / sum(max w); ln a identifies them. The fingerprint
 lists a 32-bit code per sample, the likeness of two is the share of equal codes.
 
-Texts are dealt out by ``doc_id`` once; exploding, counting and sampling then
+Texts are dealt out by ``doc_id`` (NULL: by text) once; exploding, counting and sampling then
 stay inside the partition. NULL texts count as empty. A text without words
 has the empty fingerprint, which is like another empty one (1) and unlike all
 others (0). Equal texts have equal fingerprints. Rows repeated with one
@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 from salesmart.llm.common import saved
 
 SAMPLES, LANES = 32, 4
-NO_ID = -(1 << 63)
 BLANK = r"[\x20\x09-\x0D]+"
 
 
@@ -46,9 +45,9 @@ def sample_parts(term: Column, number: Column) -> tuple[Column, Column, Column]:
     return -F.log(u1 * u2), F.log(-F.log(u3 * u4)), u5
 
 
-def sample_value(weight: Column, r: Column, ln_c: Column, b: Column) -> Column:
-    """ln a of a term with ``weight`` (NULL for weight 0)."""
-    return F.when(weight > 0, ln_c - r * (F.floor(F.log(weight.cast("double")) / r + b) - b + 1))
+def sample_value(ln_weight: Column, r: Column, ln_c: Column, b: Column) -> Column:
+    """ln a of a term whose weight has this logarithm (NULL: weight 0)."""
+    return ln_c - r * (F.floor(ln_weight / r + b) - b + 1)
 
 
 def words(text: Column) -> Column:
@@ -74,6 +73,8 @@ def fingerprints(rows: DataFrame, keys: list[str], texts: list[str], samples: in
     rows without any term are absent, and so is a text's code where it has
     no term."""
     terms = weighted_terms(rows, keys, texts)
+    # the logarithm of a weight is the same in all samples; of weight 0 it is NULL
+    terms = terms.select(*keys, "term", *[F.log(f"w{i}").alias(f"w{i}") for i in range(len(texts))])
     groups = terms.withColumn("_g", F.explode(F.sequence(F.lit(0), F.lit(samples // LANES - 1))))
     drawn, values = groups, []
     for lane in range(LANES):
@@ -100,40 +101,47 @@ def likeness(a: Column, b: Column, samples: int = SAMPLES) -> Column:
     return F.when((a == "") & (b == ""), F.lit(1.0)).when((a == "") | (b == ""), F.lit(0.0)).otherwise(same / float(samples))
 
 
-def next_ids(ids: DataFrame, width: int = 16) -> DataFrame:
+def next_ids(ids: DataFrame) -> DataFrame:
     """``doc_id, next_id``: the next smaller id, and the largest after the
-    smallest. Ids are ordered within blocks of 2**width values; one row per
-    block is ordered across blocks."""
-    dealt = ids.withColumn("_block", F.shiftright("doc_id", width))
-    inside = Window.partitionBy("_block").orderBy("doc_id")
-    blocks = dealt.groupBy("_block").agg(F.max("doc_id").alias("_top"))
-    across = Window.orderBy("_block")
-    whole = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    blocks = blocks.select("_block", F.coalesce(F.lag("_top").over(across), F.max("_top").over(whole)).alias("_below"))
-    return dealt.withColumn("_lag", F.lag("doc_id").over(inside)).join(blocks, "_block") \
+    smallest. Distinct ids are range-partitioned and ordered within their
+    partition; only one row per partition is ordered across partitions."""
+    dealt = saved(ids.repartitionByRange("doc_id").withColumn("_part", F.spark_partition_id()), "ids")
+    inside = Window.partitionBy("_part").orderBy("doc_id")
+    parts = dealt.groupBy("_part").agg(F.max("doc_id").alias("_top"))
+    across = Window.orderBy("_part")
+    whole = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    parts = parts.select("_part", F.coalesce(F.lag("_top").over(across), F.max("_top").over(whole)).alias("_below"))
+    return dealt.withColumn("_lag", F.lag("doc_id").over(inside)).join(parts, "_part") \
         .select("doc_id", F.coalesce("_lag", "_below").alias("next_id"), *[c for c in ids.columns if c != "doc_id"])
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """One row per document: ``id`` (NO_ID for NULL), ``text``, ``text_key``,
-    ``next_id``, ``copies`` (rows with this id and text) and ``edited``, the
-    text with its last third replaced by the beginning of the next document.
-    The texts are shuffled once, by id; what follows stays in place."""
-    own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"),
-                      F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = own.groupBy("id", F.xxhash64("text").alias("key")).agg(F.count(F.lit(1)).alias("n"), F.max(F.length("text")).alias("size"))
-    ids = rows.groupBy("id").agg(F.max("size").alias("size"), F.map_from_entries(F.collect_list(F.struct("key", "n"))).alias("rows"))
-    ring = next_ids(ids.filter(F.col("id") != NO_ID).select(F.col("id").alias("doc_id"), "size"))
+    """One row per document: ``id`` and ``none`` (rows without a doc_id take
+    their text's hash as id, so they do not meet in one task), ``text``,
+    ``text_key``, ``next_id``, ``copies`` (rows with this id and text) and
+    ``edited``, the text with its last third replaced by the beginning of the
+    next document. The texts are shuffled once, by id; what follows stays in
+    place."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)).alias("id"), F.col("doc_id").isNull().alias("none"),
+                      text.alias("text"))
+    key = F.when(F.col("none"), F.xxhash64("text", F.lit(1))).otherwise(F.xxhash64("text"))
+    rows = own.groupBy("id", key.alias("key")).agg(F.count(F.lit(1)).alias("n"), F.max(F.length("text")).alias("size"),
+                                                   F.bool_or(~F.col("none")).alias("real"))
+    ids = rows.groupBy("id").agg(F.max("size").alias("size"), F.map_from_entries(F.collect_list(F.struct("key", "n"))).alias("rows"),
+                                 F.bool_or("real").alias("real"))
+    ring = next_ids(ids.filter("real").select(F.col("id").alias("doc_id"), "size"))
     wanted = ring.select(F.col("next_id").alias("id"), F.col("doc_id").alias("_for"), F.floor(F.col("size") / 3).cast("int").alias("_m"))
-    heads = own.join(wanted, "id").select(F.col("_for").alias("id"), F.col("text").substr(F.lit(1), F.col("_m")).alias("_head")) \
+    heads = own.join(wanted, "id").select(F.col("_for").alias("id"), F.when(~F.col("none"), F.col("text").substr(F.lit(1), F.col("_m"))).alias("_head")) \
         .groupBy("id").agg(F.min("_head").alias("_head"))
     about = ids.select("id", "rows").join(ring.select(F.col("doc_id").alias("id"), "next_id"), "id", "left")
     third = F.floor(F.length("text") / 3).cast("int")
-    key = F.xxhash64("text")
     return (own.join(about, "id").join(heads, "id", "left")
-            .select("id", "text", key.alias("text_key"), "next_id", F.element_at("rows", key).alias("copies"),
+            .select("id", "none", "text", key.alias("text_key"), F.when(~F.col("none"), F.col("next_id")).alias("next_id"),
+                    F.element_at("rows", key).alias("copies"),
                     F.concat(F.col("text").substr(F.lit(1), (F.length("text") - third).cast("int")),
-                             F.coalesce(F.col("_head").substr(F.lit(1), third), F.lit(""))).alias("edited")))
+                             F.when(~F.col("none") & F.col("_head").isNotNull(), F.col("_head").substr(F.lit(1), third)).otherwise(F.lit("")))
+                    .alias("edited")))
 
 
 def compare_with_edits(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
@@ -142,14 +150,14 @@ def compare_with_edits(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     rows = with_next(docs)
     keys = ["id", "text_key"]
     prints = fingerprints(rows, keys, ["text", "edited"], samples)
-    meta = rows.select(*keys, "next_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
+    meta = rows.select(*keys, "none", "next_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
     # written once: the sampling is the costly step, and the next document's
     # fingerprint is looked up in the same rows
     out = saved(meta.join(prints, keys, "left").select(
-        "id", "next_id", "n_chars", "edited_sha256", F.coalesce("f0", F.lit("")).alias("fingerprint"),
+        "id", "none", "next_id", "n_chars", "edited_sha256", F.coalesce("f0", F.lit("")).alias("fingerprint"),
         F.coalesce("f1", F.lit("")).alias("edited_fingerprint")), "fingerprints")
-    following = out.groupBy("id").agg(F.min("fingerprint").alias("_next")).withColumnRenamed("id", "next_id")
+    following = out.filter(~F.col("none")).groupBy("id").agg(F.min("fingerprint").alias("_next")).withColumnRenamed("id", "next_id")
     return out.join(following, "next_id", "left").select(
-        F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+        F.when(~F.col("none"), F.col("id")).alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint"), samples).alias("near_edited"),
         likeness(F.col("fingerprint"), F.coalesce("_next", F.lit("")), samples).alias("near_next"))
