@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from salesmart.functions.columns import fold_extras
 from salesmart.plans.joins import union_all
 from salesmart.schemas import EXTRA_COLUMN, MANDATORY_COLUMNS
-from salesmart.sources.files import empty_sales, read_headers, read_sales_csv
+from salesmart.sources.files import empty_sales, read_headers, read_sales_csv, reader_names
 from salesmart.sources.paths import for_reader, plain
 
 
@@ -123,7 +123,9 @@ def load_accepted(spark: SparkSession, gated: DataFrame, with_source: bool = Fal
     for g in groups:
         df = read_sales_csv(spark, [for_reader(p) for p in g.paths], list(g.header), with_source=with_source,
                             bad=BAD if with_bad else None)
-        cols = [F.col(c) for c in MANDATORY_COLUMNS] + [fold_extras(list(g.extras)).alias(EXTRA_COLUMN)]
+        read_as = dict(zip(g.header, reader_names(list(g.header))))
+        cols = [F.col(read_as[c]).alias(c) for c in MANDATORY_COLUMNS]
+        cols.append(fold_extras([read_as[c] for c in g.extras]).alias(EXTRA_COLUMN))
         if with_source:
             cols.append(F.col("source_file"))
         if with_bad:

@@ -98,3 +98,16 @@ def q_union_all_files(spark, d):
     root = land(spark, d, base, duplicate_clean=True)
     sales, _ = I.ingest(spark, root, error_root=f"{base}/error")
     return sales
+
+
+@register("odd_headers", O.star_sql(f"""
+SELECT {_MAND}, concat_ws(',', l_returnflag, l_linestatus, o_orderstatus) AS {EXTRA_COLUMN} FROM s_sales"""))
+def q_odd_headers(spark, d):
+    """S4 + I4 + I5: extra columns whose names hold a comma, a dot and a
+    backtick; the header quotes the first."""
+    root = scratch_dir(spark, "odd_headers")
+    s = star_sales_with_status(spark, d)
+    s.select(*MANDATORY_COLUMNS, F.col("l_returnflag").alias("return,flag"), F.col("l_linestatus").alias("line.status"),
+             F.col("o_orderstatus").alias("order`status")).write.option("header", "true").csv(root)
+    sales, _ = I.ingest(spark, root)
+    return sales

@@ -18,8 +18,11 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salesmart.schemas import SALES, csv_schema
 from salesmart.sources.paths import for_reader, plain
@@ -52,12 +55,48 @@ def read_discovered_lines(spark: SparkSession, root: str, glob: str = CSV_GLOB)
     return _file_reader(spark, "text", glob).load(root)
 
 
+# A quoted field (a backslash escapes the next character), and any
+# field of a line: quoted up to a quote before a comma or the end, or up to the next comma.
+_QUOTED = r'^"(?:[^"\\]|\\.)*"$'
+_FIELD = r'(?:^|,)("(?:[^"\\]|\\.|"(?!,|$))*"(?=,|$)|[^,]*)'
+
+
 def header_columns(line) -> "F.Column":
-    """Split a header line on commas and strip one pair of surrounding quotes.
+    """The column names of a header line, as Spark's CSV reader names them.
+
+    Commas inside quotes belong to the name; quotes stay where one is not
+    escaped inside. An empty name becomes ``_c<i>``,
+    and names that are equal but for case each get their position appended, so
+    a header with ``price`` twice has no column ``price``."""
+    quoted = F.transform(F.regexp_extract_all(line, F.lit(_FIELD), F.lit(1)), lambda c: F.when(
+        c.rlike(_QUOTED), F.regexp_replace(F.substring(c, F.lit(2), F.length(c) - 2), r"\\(.)", "$1")).otherwise(c))
+    return unique_names(F.when(F.contains(line, F.lit('"')), quoted).otherwise(F.split(line, ",")))
+
+
+def unique_names(fields) -> "F.Column":
+    """``fields``, told apart by position where they are empty or repeated."""
+    lowered = F.array_sort(F.transform(fields, F.lower))
+    repeated = F.array_distinct(F.filter(lowered, lambda c, i: (i > 0) & (c == F.get(lowered, F.greatest(i - 1, F.lit(0))))))
+    apart = F.transform(fields, lambda c, i: F.when(c == "", F.concat(F.lit("_c"), i.cast("string")))
+                        .when(F.array_contains(repeated, F.lower(c)), F.concat(c, i.cast("string"))).otherwise(c))
+    clear = (F.size(F.array_distinct(lowered)) == F.size(fields)) & ~F.array_contains(fields, "")
+    return F.when(clear, fields).otherwise(apart)
+
+
+#: Column with the path of a row's file, where asked for.
+SOURCE = "source_file"
+
+# Names that can be columns of a frame as they are.
+_REGULAR = re.compile(r"[A-Za-z][A-Za-z0-9_ -]*")
+
 
-    Quoted names holding a comma are not supported (no such header exists in
-    the sales feeds)."""
-    return F.transform(F.split(line, ","), lambda c: F.regexp_replace(c, r'^"(.*)"$', "$1"))
+def reader_names(header: list[str]) -> list[str]:
+    """The names under which a file's columns are read: its own, or ``_f<i>``
+    by position where one may have been told apart (so the file's own header
+    differs) or would clash with another column."""
+    own = all(_REGULAR.fullmatch(c) and not c.endswith(str(i)) and c.lower() != SOURCE for i, c in enumerate(header)) \
+        and len({c.lower() for c in header}) == len(header)
+    return list(header) if own else [f"_f{i}" for i in range(len(header))]
 
 
 # Hadoop URI schemes and the Arrow scheme that opens the same objects.
@@ -148,24 +187,27 @@ def read_sales_csv(spark: SparkSession, paths: list[str] | str, header: list[str
                    with_source: bool = False, bad: str | None = None) -> DataFrame:
     """Typed scan of sales CSV files that share one header.
 
-    Columns bind by position to ``header`` (default: the canonical order);
-    ``enforceSchema=false`` makes Spark check each file's header against it.
+    Columns bind by position to ``header`` (default: the canonical order) and
+    are named by ``reader_names``. Where these are the header's own names,
+    ``enforceSchema=false`` makes Spark check each file's header against them.
     Unparsable values become NULL (PERMISSIVE); with ``bad`` a column of that
     name holds the raw line of such rows (NULL for the others).
     """
     names = header or [f.name for f in SALES.fields if f.name != "additional_column"]
     schema = csv_schema(names)
+    read_as = reader_names(names)
+    schema = T.StructType([T.StructField(c, f.dataType) for c, f in zip(read_as, schema.fields)])
     if bad:
         schema = schema.add(bad, "string")
     df = (spark.read.schema(schema)
           .option("columnNameOfCorruptRecord", bad or "_corrupt_record")
           .option("columnPruning", "false" if bad else "true")
           .option("header", "true")
-          .option("enforceSchema", "false")
+          .option("enforceSchema", str(read_as != names).lower())
           .option("mode", "PERMISSIVE")
           .csv(paths))
     if with_source:
-        df = df.withColumn("source_file", plain(F.col("_metadata.file_path")))
+        df = df.withColumn(SOURCE, plain(F.col("_metadata.file_path")))
     return df
 
 

@@ -77,3 +77,37 @@ def test_path_forms():
     from salesmart.sources.paths import comparable, for_reader
     assert for_reader("file:/a/s[1] {b}*?.csv") == "file:/a/s\\[1\\] \\{b\\}\\*\\?.csv"
     assert comparable("file:///a/b/") == comparable("file:/a/b") == comparable("/a/b")
+
+
+ODD_HEADERS = [
+    "a,b,c", '"a,b",c', '"a","b c"', "a,,c", ",", "a,A,b", "price,price,Price,x", '"a\\"b",c', '"a,""b",c', 'a"b,c', '"a"b,c',
+    "a.b,`c`,d e", " a ,b ", "_c2,,x", "note,note1,note", '"",a', "é,É,x", "a,b,",
+]
+
+
+@pytest.mark.parametrize("header", ODD_HEADERS)
+@pytest.mark.parametrize("method", ["auto", "scan"])
+def test_header_names_are_those_of_the_csv_reader(spark, tmpdir_str, header, method):
+    path = f"{tmpdir_str}/x.csv"
+    _write(path, header + "\n1,2,3\n")
+    expected = spark.read.option("header", "true").csv(path).columns
+    assert [list(r.header) for r in read_headers(spark, tmpdir_str, method=method).collect()] == [expected]
+
+
+def test_files_with_odd_headers_are_folded_and_gated_like_others(spark, tmpdir_str):
+    from salesmart.operators import ingest as I
+    names = "customer_id,store_id,product_name,sales_date,sales_person_id,price,quantity,total_cost"
+    row = "1,121,sugar,2025-01-02,1,50,2,100"
+    _write(f"{tmpdir_str}/dots.csv", f'{names},"a,b",c.d,`e`\n{row},x,y,z\n')
+    _write(f"{tmpdir_str}/twice.csv", f"{names},note,Note,,\n{row},p,q,,r\n")
+    _write(f"{tmpdir_str}/own.csv", f"{names},source_file,_bad_row,additional_column\n{row},s,t,u\n")
+    _write(f"{tmpdir_str}/price.csv", f"{names},Price\n{row},1\n")
+    _write(f"{tmpdir_str}/blank.csv", "\n")
+    gated = {r.file_path.rsplit("/", 1)[-1]: r for r in I.gate(read_headers(spark, tmpdir_str)).collect()}
+    assert {n for n, r in gated.items() if r.accepted} == {"dots.csv", "twice.csv", "own.csv"}
+    assert list(gated["price.csv"].missing) == ["price"] and len(gated["blank.csv"].missing) == 8
+    assert list(gated["twice.csv"].extras) == ["note8", "Note9", "_c10", "_c11"]
+    for with_bad in (False, True):
+        sales = I.load_accepted(spark, I.gate(read_headers(spark, tmpdir_str)), with_source=True, with_bad=with_bad)
+        got = {r.source_file.rsplit("/", 1)[-1]: (r.customer_id, str(r.price), r.additional_column) for r in sales.collect()}
+        assert got == {"dots.csv": (1, "50.00", "x,y,z"), "twice.csv": (1, "50.00", "p,q,r"), "own.csv": (1, "50.00", "s,t,u")}
