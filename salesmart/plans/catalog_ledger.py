@@ -98,3 +98,21 @@ def q_ledger_complete(spark, d):
     L.activate(files, root, "run2", RUN2 + dt.timedelta(minutes=1))
     L.complete(files, root, "run2", RUN2 + dt.timedelta(minutes=9))
     return _state(spark, root)
+
+
+@register("ledger_compacted", _FILES_SQL + """
+SELECT file_location, file_name, CASE WHEN st = 'F' THEN 'A' ELSE 'I' END AS status,
+       CAST(CASE WHEN st = 'P' THEN 2 WHEN st = 'O' THEN 4 ELSE 5 END AS BIGINT) AS n_events
+FROM files""")
+def q_ledger_compacted(spark, d):
+    """After both runs their days are merged; run 3 finds nothing in flight and
+    activates the ``F`` files again. State and history are as without merging."""
+    root = scratch_dir(spark, "ledger_compacted")
+    files = _run1(spark, d, root)
+    L.reset(spark, files, root, "run2", RUN2)
+    L.activate(files, root, "run2", RUN2 + dt.timedelta(minutes=1))
+    L.complete(files, root, "run2", RUN2 + dt.timedelta(minutes=9))
+    L.compact(spark, root, RUN2 + dt.timedelta(days=1))
+    L.reset(spark, files, root, "run3", RUN2 + dt.timedelta(days=2))
+    L.activate(files.where(F.col("st") == "F"), root, "run3", RUN2 + dt.timedelta(days=2, minutes=1))
+    return _state(spark, root)

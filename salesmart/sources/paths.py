@@ -47,6 +47,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(hadoop)
+
+
 def signature(spark: SparkSession, path: str) -> tuple:
     """Length and modification time of a file, or of a folder's files."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
