@@ -10,8 +10,10 @@ rest. Two modes:
   cipher text without the IV). Equal plaintexts give equal cipher texts, which
   allows equality joins on protected columns but also reveals equal values.
 
-The key is a literal of the plan, so plans of protected frames must stay out
-of logs.
+``protect`` and ``reveal`` take the key from a scalar subquery over a one-row
+frame, so it shows in no plan, log or event file of the frame. ``encrypt`` and
+``decrypt`` work on single columns; given the key as bytes they hold it as a
+literal, and such plans must stay out of logs.
 """
 
 from __future__ import annotations
@@ -40,37 +42,48 @@ def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def encrypt(col: str | Column, key: bytes, mode: str = "GCM", iv: bytes | None = None) -> Column:
+def _key(key: bytes | Column) -> Column:
+    return key if isinstance(key, Column) else F.lit(key)
+
+
+def encrypt(col: str | Column, key: bytes | Column, mode: str = "GCM", iv: bytes | None = None) -> Column:
     """base64 cipher text of a string column (NULL stays NULL)."""
     if mode == "GCM":
-        return F.base64(F.aes_encrypt(_c(col), F.lit(key), F.lit("GCM"), F.lit("DEFAULT")))
+        return F.base64(F.aes_encrypt(_c(col), _key(key), F.lit("GCM"), F.lit("DEFAULT")))
     if mode == "CBC":
         if iv is None or len(iv) != IV_BYTES:
             raise ValueError("CBC needs a 16-byte IV")
-        out = F.aes_encrypt(_c(col), F.lit(key), F.lit("CBC"), F.lit("PKCS"), F.lit(iv))
+        out = F.aes_encrypt(_c(col), _key(key), F.lit("CBC"), F.lit("PKCS"), F.lit(iv))
         # Spark prepends the IV; the stored form is the cipher text alone.
         return F.base64(F.substring(out, IV_BYTES + 1, 1 << 30))
     raise ValueError(f"unsupported mode {mode}")
 
 
-def decrypt(col: str | Column, key: bytes, mode: str = "GCM", iv: bytes | None = None) -> Column:
+def decrypt(col: str | Column, key: bytes | Column, mode: str = "GCM", iv: bytes | None = None) -> Column:
     """Plaintext string; NULL when the value does not decrypt with ``key``."""
     raw = F.unbase64(_c(col))
     if mode == "GCM":
-        return F.try_aes_decrypt(raw, F.lit(key), F.lit("GCM"), F.lit("DEFAULT")).cast("string")
+        return F.try_aes_decrypt(raw, _key(key), F.lit("GCM"), F.lit("DEFAULT")).cast("string")
     if mode == "CBC":
         if iv is None or len(iv) != IV_BYTES:
             raise ValueError("CBC needs a 16-byte IV")
-        return F.try_aes_decrypt(F.concat(F.lit(iv), raw), F.lit(key), F.lit("CBC"),
+        return F.try_aes_decrypt(F.concat(F.lit(iv), raw), _key(key), F.lit("CBC"),
                                  F.lit("PKCS")).cast("string")
     raise ValueError(f"unsupported mode {mode}")
 
 
+def _hidden(df: DataFrame, key: bytes) -> Column:
+    """The key as a scalar subquery over a one-row frame."""
+    return df.sparkSession.createDataFrame([(key,)], "protection_key binary").scalar()
+
+
 def protect(df: DataFrame, cols: list[str], key: bytes, mode: str = "GCM", iv: bytes | None = None) -> DataFrame:
     """Replace ``cols`` by their cipher texts."""
-    return df.withColumns({c: encrypt(c, key, mode, iv) for c in cols})
+    hidden = _hidden(df, key)
+    return df.withColumns({c: encrypt(c, hidden, mode, iv) for c in cols})
 
 
 def reveal(df: DataFrame, cols: list[str], key: bytes, mode: str = "GCM", iv: bytes | None = None) -> DataFrame:
     """Replace ``cols`` by their plaintexts."""
-    return df.withColumns({c: decrypt(c, key, mode, iv) for c in cols})
+    hidden = _hidden(df, key)
+    return df.withColumns({c: decrypt(c, hidden, mode, iv) for c in cols})

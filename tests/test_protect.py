@@ -28,3 +28,13 @@ def test_key_derivation_matches_pbkdf2_prefix():
     import hashlib
     k = P.derive_key("a", "b")
     assert k == hashlib.pbkdf2_hmac("sha1", b"a", b"b", 1000, 32) and len(k) == 32
+
+
+def test_the_key_is_in_no_plan(spark):
+    key = P.derive_key("secret", "salt")
+    df = spark.range(10).selectExpr("cast(id as string) v", "id")
+    for frame in (P.protect(df, ["v"], key), P.reveal(df, ["v"], key, "CBC", IV)):
+        assert frame.columns == ["v", "id"] and frame.count() == 10
+        plan = frame._jdf.queryExecution().toString()
+        assert key.hex().upper() not in plan.upper()
+    assert key.hex().upper() in df.select(P.encrypt("v", key))._jdf.queryExecution().toString().upper()
