@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesmart.schemas import SALES, csv_schema
-from salesmart.sources.paths import for_reader, plain
+from salesmart.sources.paths import comparable, for_reader, plain, uri
 
 # The accepted file suffix, matched case-insensitively.
 CSV_GLOB = "*.[cC][sS][vV]"
@@ -117,8 +117,6 @@ def _first_lines(batches):
     import pandas as pd
     import pyarrow.fs as pafs
 
-    from salesmart.sources.paths import comparable, uri
-
     for pdf in batches:
         out = []
         for path in pdf["file_path"]:
