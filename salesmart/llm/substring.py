@@ -14,8 +14,9 @@ document) is reported. Four passes:
    of one batch are sent once, the later ones being repeats already.
 3. *Shards.* Each shard builds an FM-index of its regions and streams the
    regions against it; the matching statistics give the first occurrence of
-   every window. A seed in very many regions is dealt to several index chunks
-   and its regions are streamed against each, so no shard is unbounded.
+   every window. The regions of a seed in very many are dealt to chunks; every
+   pair of chunks is a shard, one indexed and the other streamed, so no shard
+   is unbounded.
 4. *Spans* of repeated words per document are joined to the texts.
 
 The counted seeds reach pass 2 as a bit table of bounded size; its false
@@ -31,6 +32,8 @@ Texts are never cut: windows are formed over whole documents.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -43,11 +46,12 @@ from salesmart.llm.fmindex import FmIndex
 from salesmart.llm.wordhash import Hasher, buffers, mix, split_words, windows
 
 WINDOW, SEED = 20, 8
-#: Regions per shard, regions of one seed above which its shard is split.
+#: Regions per shard, regions of one seed above which its shard is split; for
+#: windows of ``WINDOW`` words, and fewer in proportion where regions are longer.
 SHARD, HOT = 30_000, 20_000
 
 REGION = T.StructType([
-    T.StructField("shard", T.LongType()), T.StructField("indexed", T.BooleanType()),
+    T.StructField("shard", T.LongType()), T.StructField("indexed", T.BooleanType()), T.StructField("asked", T.BooleanType()),
     T.StructField("doc_id", T.LongType()), T.StructField("text_key", T.LongType()),
     T.StructField("start", T.LongType()), T.StructField("stop", T.LongType()), T.StructField("words", T.BinaryType()),
 ])
@@ -132,8 +136,9 @@ def regions(docs: DataFrame, n: int, seed: int, table: np.ndarray, shards: int,
 
     def start():
         cut, bits, split = Cutter(n, seed), table_b.value, hot_b.value
-        hot_seeds = np.array(sorted(split), dtype=np.int64).view(np.uint64)
-        hot_seeds.sort()
+        hot_seeds = np.array(list(split), dtype=np.int64).view(np.uint64)
+        hot_chunks = np.array(list(split.values()), dtype=np.int64)[np.argsort(hot_seeds)]
+        hot_seeds = np.sort(hot_seeds)
 
         def step(batch):
             h, first, chosen, doc, at, seeds = cut(batch.column(0))
@@ -163,50 +168,54 @@ def regions(docs: DataFrame, n: int, seed: int, table: np.ndarray, shards: int,
             same = (ids[order] == ids[boss]) & (where[order] == where[boss])
             repeat = order[~same]
             # two texts of one doc_id may hold the region at one place
-            lead = np.union1d(lead, order[same & (keys[order] != keys[boss])])
-            out: list[list] = [[None] * len(repeat), [False] * len(repeat), ids[repeat].tolist(), keys[repeat].tolist(),
-                               where[repeat].tolist(), (where + hi - lo)[repeat].tolist(), [None] * len(repeat)]
-            shard = (mix(value[lead]) % np.uint64(shards)).astype(np.int64)
+            lead = np.union1d(lead, order[same & (keys[order] != keys[boss])]).astype(np.int64)
             spot = np.minimum(np.searchsorted(hot_seeds, value[lead]), max(len(hot_seeds) - 1, 0))
             is_hot = hot_seeds[spot] == value[lead] if len(hot_seeds) else np.zeros(len(lead), bool)
-            raw = h.tobytes()
-            for k, s, heat in zip(lead.tolist(), shard.tolist(), is_hot.tolist()):
-                body = raw[8 * int(lo[k]):8 * int(hi[k])]
-                if heat:
-                    v = int(value[k].astype(np.int64))
-                    chunks, own = split[v], int(content[k] % np.uint64(split[v]))
-                    to = [(-1 - int(mix(value[k:k + 1] + np.uint64(j))[0] >> np.uint64(2)), j == own) for j in range(chunks)]
-                else:
-                    to = [(s, True)]
-                for where_to, indexed in to:
-                    for col, x in zip(out, (where_to, indexed, int(ids[k]), int(keys[k]), int(where[k]),
-                                            int(where[k] + hi[k] - lo[k]), body)):
-                        col.append(x)
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
-                out, (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=REGION.fieldNames())
+            chunks = np.where(is_hot, hot_chunks[spot], 1) if len(hot_seeds) else np.ones(len(lead), np.int64)
+            # a hot seed's regions are dealt to k chunks; chunk i is searched by chunk j in shard (i, j)
+            to = np.repeat(np.arange(len(lead)), 2 * chunks - 1)
+            nth = np.arange(len(to)) - np.repeat(np.cumsum(2 * chunks - 1) - (2 * chunks - 1), 2 * chunks - 1)
+            lead, is_hot, chunks = lead[to], is_hot[to], chunks[to]
+            own = (content[lead] % chunks.astype(np.uint64)).astype(np.int64)
+            indexed = nth < chunks
+            other = nth - chunks + (nth - chunks >= own)
+            grid = np.where(indexed, own * chunks + nth, other * chunks + own)
+            asked = ~indexed | (nth == own) | ~is_hot
+            shard = np.where(is_hot, -1 - (mix(value[lead] + grid.astype(np.uint64)) >> np.uint64(2)).astype(np.int64),
+                             (mix(value[lead]) % np.uint64(shards)).astype(np.int64))
+            rows = np.concatenate([repeat, lead]).astype(np.int64)
+            begin = where[rows]
+            size = (hi - lo)[rows]
+            sent = np.arange(len(rows)) >= len(repeat)
+            end = np.concatenate([[0], np.cumsum(np.where(sent, size, 0))])
+            body = h[np.repeat(lo[lead] - end[len(repeat):-1], size[sent]) + np.arange(end[-1])]
+            words = pa.BinaryArray.from_buffers(pa.binary(), len(rows), [
+                pa.py_buffer(np.packbits(sent, bitorder="little")), pa.py_buffer((8 * end).astype(np.int32)), pa.py_buffer(body)])
+            return pa.RecordBatch.from_arrays([
+                pa.array(np.concatenate([np.zeros(len(repeat), np.int64), shard]), mask=~sent),
+                *[pa.array(np.concatenate([np.zeros(len(repeat), bool), x])) for x in (indexed, asked)],
+                pa.array(ids[rows]), pa.array(keys[rows]), pa.array(begin), pa.array(begin + size), words], names=REGION.fieldNames())
         return step
     return map_batches(docs.select("text", "text_key", "doc_id"), REGION, start)
 
 
 def search_shard(rows: pa.Table, n: int) -> pa.Table:
-    """Index the shard's regions, stream all of them, and report the runs of
-    windows whose first occurrence is earlier than their own place."""
+    """Index the shard's indexed regions, stream those that ask, and report
+    the runs of windows whose first occurrence is earlier than their own place."""
     ids, keys = rows["doc_id"].to_numpy(), rows["text_key"].to_numpy()
-    start, indexed = rows["start"].to_numpy(), rows["indexed"].to_numpy(zero_copy_only=False)
+    start, indexed, asked = rows["start"].to_numpy(), *(rows[c].to_numpy(zero_copy_only=False) for c in ("indexed", "asked"))
     order = np.lexsort((start, ids))
-    ids, keys, start, indexed = ids[order], keys[order], start[order], indexed[order]
+    ids, keys, start, indexed, asked = ids[order], keys[order], start[order], indexed[order], asked[order]
     binary = rows["words"].combine_chunks().take(pa.array(order))
     if isinstance(binary, pa.ChunkedArray):
         binary = binary.combine_chunks()
     off = np.frombuffer(binary.buffers()[1], dtype=np.int32)[binary.offset:binary.offset + len(binary) + 1].astype(np.int64)
     words = np.frombuffer(binary.buffers()[2], dtype=np.uint64)[off[0] // 8: off[-1] // 8]
-    off = (off - off[0]) // 8
-    lengths = np.diff(off)
-    empty = SPAN_ARROW.empty_table()
-    if not indexed.any():
-        return empty
-    inside = np.repeat(indexed, lengths)
-    index = FmIndex(words[inside], lengths[indexed], n)
+    lengths = np.diff((off - off[0]) // 8)
+    if not indexed.any() or not asked.any():
+        return SPAN_ARROW.empty_table()
+    index = FmIndex(words[np.repeat(indexed, lengths)], lengths[indexed], n)
+    words, lengths = words[np.repeat(asked, lengths)], lengths[asked]
     found = index.first_positions(words, lengths)
     count = lengths - n + 1
     region = np.repeat(np.arange(len(lengths)), count)
@@ -214,7 +223,8 @@ def search_shard(rows: pa.Table, n: int) -> pa.Table:
     owner = np.maximum(np.searchsorted(index.starts, np.maximum(found, 0), side="right") - 1, 0)
     first_id = ids[indexed][owner]
     first_at = start[indexed][owner] + found - index.starts[owner]
-    own_id, own_at = ids[region], start[region] + nth
+    keys = keys[asked]
+    own_id, own_at = ids[asked][region], start[asked][region] + nth
     earlier = (found >= 0) & ((first_id < own_id) | ((first_id == own_id) & (first_at < own_at)))
     run = earlier.copy()
     run[1:] &= ~(earlier[:-1] & (region[1:] == region[:-1]))
@@ -236,9 +246,10 @@ def repeated_spans(docs: DataFrame, n: int = WINDOW, seed: int = SEED) -> DataFr
     seeds = saved(seed_counts(own, n, seed), "seeds")
     total = seeds.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("regions"), F.lit(0)).alias("r")).first()
     # at most (all regions / HOT) seeds: a thousandth of a percent of the words
-    hot = {r["seed"]: -(-r["regions"] // HOT) for r in seeds.filter(F.col("regions") > HOT).collect()}
+    longer = (2 * n - min(seed, n)) / (2 * WINDOW - SEED)        # than the regions of the default window
+    hot = {r["seed"]: math.ceil(r["regions"] * longer / HOT) for r in seeds.filter(F.col("regions") * longer > HOT).collect()}
     table = bit_table(seeds, "seed", total["n"])
-    shards = max(1, -(-total["r"] // SHARD))
+    shards = max(1, math.ceil(total["r"] * longer / SHARD))
     rows = saved(regions(own, n, seed, table, shards, hot), "regions")
     searched = (rows.filter("shard is not null").groupBy("shard")
                 .applyInArrow(lambda t: search_shard(t, n), SPAN))
