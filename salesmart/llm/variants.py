@@ -102,7 +102,7 @@ def word_counts(docs: DataFrame, text: str = "text", least_length: int = LEAST_L
             return pa.RecordBatch.from_arrays([found.field(0).cast(pa.string()), found.field(1)], names=["word", "n"])
         return step
     rows = docs.select("doc_id", F.col(f"`{text}`").cast("string").alias("text"))
-    return map_batches(rows, "word string, n long", start, 8 << 20).groupBy("word").agg(F.sum("n").alias("n"))
+    return map_batches(rows, "word string, n long", start).groupBy("word").agg(F.sum("n").alias("n"))
 
 
 class Padded:
