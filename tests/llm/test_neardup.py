@@ -1,6 +1,7 @@
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from conftest import WORD, prose
 
@@ -82,6 +83,42 @@ def test_threshold_is_exact(spark, make_docs):
     assert got[3][1] == 1                                # 16 of 17 with document 2
 
 
+def test_pairs_of_a_group_without_links_are_bounded(spark, make_docs, monkeypatch):
+    """A common passage and two of a few blocks: all share table keys and no
+    shingle is alone, but few are similar enough."""
+    rng = random.Random(11)
+    passage, blocks = prose(rng, 90), [prose(rng, 14) for _ in range(25)]
+    rows = [(i, " ".join(passage + blocks[a] + blocks[b])) for i, (a, b) in enumerate(
+        (a, b) for a in range(25) for b in range(a) if (a + b) % 3)]
+    asked, verified = [], neardup.verified
+
+    def count(pairs, sets, percent):
+        asked.append(pairs.count())
+        return verified(pairs, sets, percent)
+    monkeypatch.setattr(neardup, "verified", count)
+    check(spark, make_docs(rows), rows, 85)
+    assert asked[1] < 20 * len(rows)
+
+
+def test_parity_bits_keep_every_link():
+    rng = np.random.default_rng(2)
+    work = neardup.BlockPairs(85)
+    for size in (20, 200, 5000):
+        a = rng.integers(0, 1 << 63, size, dtype=np.uint64)
+        keep = size - int(size * 15 / 100)                      # exactly 0.85 with a
+        sets = [a, a[:keep]]
+        bits = np.stack([parity(s) for s in sets])
+        n = np.array([len(s) for s in sets])
+        assert work.near(bits, n, np.array([0]), np.array([1]))[0]
+    far = [rng.integers(0, 1 << 63, 200, dtype=np.uint64) for _ in range(2)]
+    assert not work.near(np.stack([parity(s) for s in far]), np.array([200, 200]), np.array([0]), np.array([1]))[0]
+
+
+def parity(s):
+    odd = np.bincount((neardup.mix(s) % np.uint64(neardup.BITS)).astype(np.int64), minlength=neardup.BITS) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
 def test_sample_tables(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]

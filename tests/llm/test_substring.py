@@ -63,6 +63,23 @@ def test_against_brute_force(make_docs, monkeypatch, shard, hot):
     check(make_docs(rows), rows, 50)
 
 
+def test_only_texts_with_spans_are_joined(make_docs, monkeypatch):
+    rows = passages(random.Random(4)) + [(3_000_000 + i, " ".join(prose(random.Random(i), 60))) for i in range(300)]
+    docs, seen, step = make_docs(rows), [], substring.map_batches
+
+    def last(df, *rest):
+        seen.append(df)
+        return step(df, *rest)
+    monkeypatch.setattr(substring, "map_batches", last)
+    substring.remove_repeats(docs)
+    plan = seen[-1]._jdf.queryExecution().optimizedPlan()
+    assert plan.toString().count("Union") == plan.toString().count("Join") == 1
+    assert plan.collectLeaves().size() == 3              # texts that stay, texts to join, spans
+    # a full bit table sends every text through the join: same result
+    monkeypatch.setattr(substring, "in_table", lambda table, v: np.ones(len(v), dtype=bool))
+    check(docs, rows)
+
+
 def test_sample_tables(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     check(docs, [(r["doc_id"], r["text"]) for r in docs.collect()])
