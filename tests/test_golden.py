@@ -1,3 +1,4 @@
+import os
 from decimal import Decimal
 
 from hypothesis import given, settings
@@ -138,3 +139,16 @@ def test_gate_matches_set_semantics(spark, headers):
         assert list(r.missing) == [c for c in MANDATORY_COLUMNS if c not in h]
         assert list(r.extras) == [c for c in h if c not in MANDATORY_COLUMNS]
         assert r.accepted == set(MANDATORY_COLUMNS).issubset(h)
+
+
+def test_quarantine_copy_is_smaller_than_the_files(spark, tmpdir_str):
+    src = f"{tmpdir_str}/src"
+    os.makedirs(src)
+    lines = ["customer_id,product_name"] + [f"{i % 90},product number {i % 7}" for i in range(5000)]
+    with open(f"{src}/bad.csv", "w") as f:
+        f.write("\n".join(lines) + "\n")
+    I.quarantine(spark, I.gate(read_headers(spark, src)), f"{tmpdir_str}/errors")
+    rows = f"{tmpdir_str}/errors/rows"
+    assert sorted(r.value for r in spark.read.text(rows).collect()) == sorted(lines)
+    written = sum(os.path.getsize(f"{at}/{n}") for at, _, names in os.walk(rows) for n in names if n.startswith("part-"))
+    assert 2 * written < os.path.getsize(f"{src}/bad.csv")
