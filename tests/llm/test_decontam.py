@@ -1,9 +1,12 @@
 import random
+import tracemalloc
 
+import pyarrow as pa
 from conftest import prose
 from pyspark.sql import functions as F
 
 from salesmart.llm import decontam, queries
+from salesmart.llm.common import SLICE_BYTES
 
 ITEM = ("A farmer named Nora Bell sells 12 kg of apples and 30 pears to Peter and later another 12 kg of plums; "
         "how many coins does Nora Bell take home if one kg costs 5 coins each day?")
@@ -110,3 +113,23 @@ def test_letter_case_does_not_hide_a_leak(spark, make_docs):
     got = run(spark, make_docs, rows, [(7, ITEM), (8, short), (9, greek)])
     assert set(got) == {(1, 7), (2, 7), (3, 8), (4, 8), (5, 9), (6, 9)}
     assert got[5, 9]["kind"] == "re-parameterised"
+
+
+def test_memory_of_a_slice(spark, make_docs, monkeypatch):
+    """The arrays for one slice of texts stay under 40 MB."""
+    limits, whole = [], decontam.map_batches
+
+    def noted(df, schema, start, limit=SLICE_BYTES):
+        limits.append(limit)
+        return whole(df, schema, start, limit)
+    monkeypatch.setattr(decontam, "map_batches", noted)
+    run(spark, make_docs, [(1, "five little ducks went swimming")], [(1, "five little ducks went swimming")])
+    text = " ".join(prose(random.Random(6), 500))
+    n = max(limits) // len(text)
+    templates, texts, ids = decontam.Templates(), pa.array([text] * n, pa.string()), pa.array(range(n), pa.int64())
+    sizes = {reading: [decontam.WINDOW] for reading in (decontam.TYPED, decontam.FOLDED, decontam.EXACT)}
+    tracemalloc.start()
+    decontam.template_windows(templates(texts), ids, sizes, False, lambda v: v == 0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(limits) == 2 and peak < 40 << 20
